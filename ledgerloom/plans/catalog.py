@@ -1,4 +1,9 @@
 """All registered queries; importing this module fills the registry."""
 
-from ledgerloom.plans import ledger_queries, timeseries_queries  # noqa: F401
+from ledgerloom.plans import (  # noqa: F401
+    distribution_queries,
+    ledger_queries,
+    profile_queries,
+    timeseries_queries,
+)
 from ledgerloom.plans.registry import ORACLES, QUERIES  # noqa: F401
