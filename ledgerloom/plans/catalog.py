@@ -5,5 +5,6 @@ from ledgerloom.plans import (  # noqa: F401
     ledger_queries,
     profile_queries,
     timeseries_queries,
+    walk_queries,
 )
 from ledgerloom.plans.registry import ORACLES, QUERIES  # noqa: F401

@@ -114,10 +114,9 @@ def _ecdf(spark, folder):
 @query(
     "ecdf_grid",
     with_transfers(
-        """SELECT i / 1000.0::DOUBLE AS prob, list_extract(q, CAST(i AS BIGINT) + 1) AS quantile
-           FROM (SELECT quantile_disc(amount, ["""
-        + ", ".join(str(i / 1000) for i in range(1001))
-        + """]) AS q FROM t), range(1001) r(i)"""
+        """, o AS (SELECT amount, row_number() OVER (ORDER BY amount) AS rn, count(*) OVER () AS n FROM t),
+        p AS (SELECT CAST(i AS DOUBLE) / 1000 AS prob FROM range(1001) r(i))
+        SELECT prob, amount AS quantile FROM p JOIN o ON rn = greatest(1, CAST(ceil(prob * n) AS BIGINT))"""
     ),
 )
 def _ecdf_grid(spark, folder):

@@ -273,7 +273,7 @@ def _dict_map(spark, folder):
     "family_features",
     """SELECT l_orderkey, l_linenumber, l_extendedprice, CAST(l_linenumber + CAST(l_quantity AS INTEGER) + 1 AS INTEGER) AS family,
               CASE WHEN l_linenumber + CAST(l_quantity AS INTEGER) + 1 = 1 THEN 1 ELSE 0 END AS is_alone,
-              round(l_extendedprice / (l_linenumber + CAST(l_quantity AS INTEGER) + 1), 4) AS fare_per_person FROM lineitem""",
+              round(l_extendedprice / (l_linenumber + CAST(l_quantity AS INTEGER) + 1), 9) AS fare_per_person FROM lineitem""",
 )
 def _family_features(spark, folder):
     from ledgerloom.operators.features import family_features
@@ -282,7 +282,7 @@ def _family_features(spark, folder):
         "l_orderkey", "l_linenumber", "l_extendedprice", F.col("l_quantity").cast("int").alias("quantity")
     )
     made = family_features(lines, "l_linenumber", "quantity", "l_extendedprice")
-    return rounded(made, 4, "fare_per_person").drop("quantity")
+    return rounded(made, 9, "fare_per_person").drop("quantity")
 
 
 @query(
