@@ -2,6 +2,7 @@
 
 from ledgerloom.plans import (  # noqa: F401
     distribution_queries,
+    io_queries,
     ledger_queries,
     profile_queries,
     timeseries_queries,
