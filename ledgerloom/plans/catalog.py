@@ -4,6 +4,7 @@ from ledgerloom.plans import (  # noqa: F401
     distribution_queries,
     io_queries,
     ledger_queries,
+    model_queries,
     profile_queries,
     timeseries_queries,
     walk_queries,
