@@ -12,8 +12,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.operators.ordered import join_null_safe
-
 
 def _best(classes: Column, score) -> Column:
     """Label of the highest score; a tie goes to the smaller label."""
@@ -23,18 +21,30 @@ def _best(classes: Column, score) -> Column:
 
 
 def gaussian_params(df: DataFrame, features: Sequence[str], label: str, smoothing: float = 1e-9) -> DataFrame:
-    """Prior, mean and smoothed variance per class. The smoothing adds a share of
-    the largest overall feature variance.
+    """Prior, mean and smoothed variance per class, from one aggregate over the rows.
+
+    The smoothing adds a share of the largest overall feature variance, which
+    follows from the class means and variances.
     """
-    widest = df.agg(F.greatest(*[F.var_pop(f) for f in features], F.lit(0.0))).scalar() * smoothing
-    total = df.agg(F.count("*")).scalar()
     stats = df.groupBy(F.col(label).alias("label")).agg(
         F.count("*").alias("n"),
         *[F.avg(f).alias(f"m_{f}") for f in features],
         *[F.var_pop(f).alias(f"v_{f}") for f in features],
     )
-    smoothed = {f"v_{f}": F.col(f"v_{f}") + widest for f in features}
-    return stats.withColumns({**smoothed, "prior": F.col("n") / total})
+    n = F.sum("n")
+    overall = []
+    for f in features:
+        mean, variance = F.col(f"m_{f}"), F.col(f"v_{f}")
+        centre = F.sum(F.col("n") * mean) / n
+        overall.append(F.sum(F.col("n") * (variance + mean * mean)) / n - centre * centre)
+    packed = stats.agg(
+        F.collect_list(F.struct(*stats.columns)).alias("__classes"),
+        n.alias("__total"),
+        (F.greatest(F.lit(0.0), *overall) * smoothing).alias("__widen"),
+    )
+    opened = packed.select("__total", "__widen", F.inline("__classes"))
+    smoothed = {f"v_{f}": F.col(f"v_{f}") + F.col("__widen") for f in features}
+    return opened.withColumns({**smoothed, "prior": F.col("n") / F.col("__total")}).drop("__total", "__widen")
 
 
 def gaussian_predict(
@@ -61,27 +71,37 @@ def categorical_predict(
 ) -> DataFrame:
     """Adds `prediction` from additively smoothed category frequencies of `train`.
 
-    A category never seen with a class counts as zero there. Each feature's table
-    has one row per category holding its count for every class.
+    A category never seen with a class counts as zero there. All counts come from
+    one pass; each feature's table has one row per category.
     """
-    counts = train.groupBy(F.col(label).alias("label")).agg(F.count("*").alias("n"))
-    classes = counts.agg(F.collect_list(F.struct("label", "n"))).scalar()
-    total = train.agg(F.count("*")).scalar()
-    scored = df.withColumns({"__classes": classes, "__total": total})
-    for i, feature in enumerate(features):
-        cells = train.groupBy(feature, F.col(label).alias("label")).agg(F.count("*").alias("n"))
-        table = cells.groupBy(feature).agg(F.map_from_entries(F.collect_list(F.struct("label", "n"))).alias(f"__c{i}"))
-        kinds = cells.agg(F.count_distinct(F.coalesce(F.col(feature).cast("string"), F.lit("\0")))).scalar()
-        scored = join_null_safe(scored, table, [feature], "left").withColumn(f"__k{i}", kinds)
+    text = [F.struct(F.lit(i).alias("f"), F.col(name).cast("string").alias("v")) for i, name in enumerate(features)]
+    cells = (
+        train.select(F.col(label).alias("label"), F.inline(F.array(*text)))
+        .groupBy("f", "v", "label")
+        .agg(F.count("*").alias("n"))
+    )
+    # every row has exactly one value of the first feature, so its cells add up to the classes
+    classes = cells.filter("f = 0").groupBy("label").agg(F.sum("n").alias("n"))
+    model = classes.agg(
+        F.struct(F.collect_list(F.struct("label", "n")).alias("classes"), F.sum("n").alias("total")).alias("s")
+    ).scalar()
+    tables = cells.groupBy("f", "v").agg(F.map_from_entries(F.collect_list(F.struct("label", "n"))).alias("seen"))
+    kinds = tables.groupBy("f").count()
+    scored = df.withColumn("__model", model).withColumn(
+        "__kinds", kinds.agg(F.map_from_entries(F.collect_list(F.struct("f", "count")))).scalar()
+    )
+    for i, name in enumerate(features):
+        table = tables.filter(F.col("f") == i).select(F.col("v").alias(f"__v{i}"), F.col("seen").alias(f"__c{i}"))
+        scored = scored.join(table, F.col(name).cast("string").eqNullSafe(F.col(f"__v{i}")), "left")
 
     def score(c: Column) -> Column:
-        result = F.ln(c["n"] / F.col("__total"))
+        result = F.ln(c["n"] / F.col("__model.total"))
         for i in range(len(features)):
             seen = F.coalesce(F.try_element_at(F.col(f"__c{i}"), c["label"]), F.lit(0))
-            result = result + F.ln((seen + alpha) / (c["n"] + alpha * F.col(f"__k{i}")))
+            result = result + F.ln((seen + alpha) / (c["n"] + alpha * F.col("__kinds")[i]))
         return result
 
-    return scored.withColumn("prediction", _best(F.col("__classes"), score)).select(*df.columns, "prediction")
+    return scored.withColumn("prediction", _best(F.col("__model.classes"), score)).select(*df.columns, "prediction")
 
 
 def accuracy(df: DataFrame, label: str, prediction: str = "prediction") -> DataFrame:

@@ -50,14 +50,24 @@ def kde(
         F.col("__q")[0].alias("__lo"), F.col("__q")[1].alias("__hi"),
     )
     weighted = data.groupBy(*keys, "v").agg(F.count("*").alias("__w"))
-    grid = _with_stats(weighted, stats, keys).withColumn("i", F.explode(F.sequence(F.lit(0), F.lit(points - 1))))
-    x = F.col("__lo") + (F.col("__hi") - F.col("__lo")) * F.col("i") / (points - 1)
-    z = (F.col("x") - F.col("v")) / F.col("__h")
-    norm = F.first("__n") * F.first("__h") * math.sqrt(2 * math.pi)
-    return (
-        grid.withColumn("x", x)
+    step = (F.col("__hi") - F.col("__lo")) / (points - 1)
+    scaled = _with_stats(weighted, stats, keys).select(
+        *keys,
+        "__w",
+        ((F.col("__lo") - F.col("v")) / F.col("__h")).alias("__z0"),
+        (step / F.col("__h")).alias("__dz"),
+    )
+    z = F.col("__z0") + F.col("__dz") * F.col("i")
+    mass = (
+        scaled.withColumn("i", F.explode(F.sequence(F.lit(0), F.lit(points - 1))))
         .groupBy(*keys, "i")
-        .agg(F.first("x").alias("x"), (F.sum(F.col("__w") * F.exp(-0.5 * z * z)) / norm).alias("density"))
+        .agg(F.sum(F.col("__w") * F.exp(-0.5 * z * z)).alias("__mass"))
+    )
+    return _with_stats(mass, stats, keys).select(
+        *keys,
+        "i",
+        (F.col("__lo") + step * F.col("i")).alias("x"),
+        (F.col("__mass") / (F.col("__n") * F.col("__h") * math.sqrt(2 * math.pi))).alias("density"),
     )
 
 
@@ -74,15 +84,26 @@ def kde_2d(
         F.min("vx").alias("__x0"), F.max("vx").alias("__x1"), F.min("vy").alias("__y0"), F.max("vy").alias("__y1"),
     )
     weighted = data.groupBy(*keys, "vx", "vy").agg(F.count("*").alias("__w"))
-    cells = _with_stats(weighted, stats, keys).withColumn("cell", F.explode(F.sequence(F.lit(0), F.lit(points * points - 1))))
-    placed = cells.withColumns({"i": F.floor(F.col("cell") / points), "j": F.pmod("cell", F.lit(points)).cast("long")})
-    gx = F.col("__x0") + (F.col("__x1") - F.col("__x0")) * F.col("i") / (points - 1)
-    gy = F.col("__y0") + (F.col("__y1") - F.col("__y0")) * F.col("j") / (points - 1)
-    zx, zy = (gx - F.col("vx")) / F.col("__hx"), (gy - F.col("vy")) / F.col("__hy")
-    norm = F.first("__n") * F.first("__hx") * F.first("__hy") * (2 * math.pi)
-    return placed.groupBy(*keys, "i", "j").agg(
-        (F.sum(F.col("__w") * F.exp(-0.5 * (zx * zx + zy * zy))) / norm).alias("density")
+    scale = lambda low, high, h: (F.col(high) - F.col(low)) / (points - 1) / F.col(h)
+    scaled = _with_stats(weighted, stats, keys).select(
+        *keys,
+        "__w",
+        ((F.col("__x0") - F.col("vx")) / F.col("__hx")).alias("__zx"),
+        ((F.col("__y0") - F.col("vy")) / F.col("__hy")).alias("__zy"),
+        scale("__x0", "__x1", "__hx").alias("__dx"),
+        scale("__y0", "__y1", "__hy").alias("__dy"),
+    )
+    cell = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(points * points - 1).cast("long")))
+    placed = scaled.withColumn("cell", cell).withColumns(
+        {"i": F.floor(F.col("cell") / points), "j": F.pmod("cell", F.lit(points)).cast("long")}
     )
+    zx = F.col("__zx") + F.col("__dx") * F.col("i")
+    zy = F.col("__zy") + F.col("__dy") * F.col("j")
+    mass = placed.groupBy(*keys, "i", "j").agg(
+        F.sum(F.col("__w") * F.exp(-0.5 * (zx * zx + zy * zy))).alias("__mass")
+    )
+    density = F.col("__mass") / (F.col("__n") * F.col("__hx") * F.col("__hy") * (2 * math.pi))
+    return _with_stats(mass, stats, keys).select(*keys, "i", "j", density.alias("density"))
 
 
 def histogram(
@@ -203,19 +224,28 @@ def class_summary(df: DataFrame, value: str, key: str, max_group_rows: int = MAX
 def corr_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Pearson correlation of every column pair as rows; NULL where a column is constant.
 
-    Every pair uses the rows where both values are present.
+    Every pair uses the rows where both values are present. Values are centred on
+    the column means first, so that plain sums keep their precision.
     """
+    means = df.agg(F.struct(*[F.avg(c).alias(c) for c in columns]).alias("m")).scalar()
+    centred = df.select(*[F.col(c).cast("double").alias(c) for c in columns]).withColumn("__m", means)
+    centred = centred.select(*[(F.col(c) - F.col("__m")[c]).alias(c) for c in columns])
     cells = []
     for i, a in enumerate(columns):
         for b in columns[i:]:
-            both = F.col(a).isNotNull() & F.col(b).isNotNull()
-            x, y = F.when(both, F.col(a).cast("double")), F.when(both, F.col(b).cast("double"))
-            spread = F.stddev_pop(x) * F.stddev_pop(y)
-            r = F.when(spread > 0, F.covar_pop(x, y) / spread)
+            x = F.when(F.col(b).isNotNull(), F.col(a))
+            y = F.when(F.col(a).isNotNull(), F.col(b))
+            n, sx, sy = F.count(x), F.sum(x), F.sum(y)
+            vx, vy = F.sum(x * x) - sx * F.try_divide(sx, n), F.sum(y * y) - sy * F.try_divide(sy, n)
+            # what is left of a constant column after centring is rounding noise
+            noise = n * 1e-20
+            r = F.when((vx > noise) & (vy > noise), (F.sum(x * y) - sx * F.try_divide(sy, n)) / F.sqrt(vx * vy))
             cells.append(F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), r.alias("corr")))
-    half = df.agg(F.array(*cells).alias("cells")).select(F.inline("cells"))
-    mirrored = half.filter("a <> b").select(F.col("b").alias("a"), F.col("a").alias("b"), "corr")
-    return half.unionByName(mirrored)
+    half = centred.agg(F.array(*cells).alias("cells")).select(F.inline("cells"))
+    both = F.when(F.col("a") == F.col("b"), F.array(F.struct("a", "b", "corr"))).otherwise(
+        F.array(F.struct("a", "b", "corr"), F.struct(F.col("b").alias("a"), F.col("a").alias("b"), "corr"))
+    )
+    return half.select(F.inline(both))
 
 
 def line_fit(df: DataFrame, x: Column, y: Column) -> DataFrame:

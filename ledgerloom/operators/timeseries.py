@@ -98,43 +98,32 @@ def hub_metrics(series: DataFrame, value: str = "net", roll: int = 7) -> DataFra
     time span, never by the number of transactions.
     """
     x = F.col(value)
-    trail = Window.partitionBy(*SERIES).orderBy("bucket").rowsBetween(-(roll - 1), 0)
+    whole = Window.partitionBy(*SERIES)
+    trail = whole.orderBy("bucket").rowsBetween(-(roll - 1), 0)
     full = F.count("*").over(trail) == roll
-    rolled = series.withColumns(
+    marked = series.withColumns(
         {
             "__rm": F.when(full, F.avg(x).over(trail)),
             "__rs": F.when(full, F.stddev(x).over(trail)),
+            "__q": F.expr(f"percentile({value}, array(0.25, 0.5, 0.75))").over(whole),
         }
     )
-    stats = rolled.groupBy(*SERIES).agg(
+    low, high = F.col("__q")[0], F.col("__q")[2]
+    fence = 1.5 * (high - low)
+    outlier = (x < low - fence) | (x > high + fence)
+    return marked.groupBy(*SERIES).agg(
         F.count("*").alias("n_points"),
         F.avg(x).alias("mean"),
         F.stddev(x).alias("std"),
-        F.expr(f"percentile({value}, array(0.25, 0.5, 0.75))").alias("__q"),
+        F.try_divide(F.stddev(x), F.avg(x)).alias("variance_ratio"),
+        F.max(F.col("__q")[1]).alias("median"),
+        F.max(high - low).alias("iqr"),
         F.skewness(x).alias("skew"),
         F.kurtosis(x).alias("kurtosis"),
+        F.avg(outlier.cast("double")).alias("outlier_frac_1_5iqr"),
         F.stddev("__rm").alias("roll_mean_std"),
         F.stddev("__rs").alias("roll_std_std"),
     )
-    low, high = F.col("__q")[0], F.col("__q")[2]
-    fence = 1.5 * (high - low)
-    outlier = (x < low - fence) | (x > high + fence)
-    shares = (
-        series.join(stats.select(*SERIES, "__q"), SERIES)
-        .groupBy(*SERIES)
-        .agg(F.avg(outlier.cast("double")).alias("outlier_frac_1_5iqr"))
-    )
-    return (
-        stats.join(shares, SERIES)
-        .withColumns(
-            {
-                "variance_ratio": F.try_divide("std", "mean"),
-                "median": F.col("__q")[1],
-                "iqr": high - low,
-            }
-        )
-        .drop("__q")
-    )
 
 
 def hub_autocorrelation(series: DataFrame, value: str = "net", share: str = "flag_share", lags: int = 10) -> DataFrame:

@@ -29,7 +29,7 @@ TRANSFER_COLUMNS = (
 
 @query("transfers", with_transfers(f"SELECT {TRANSFER_COLUMNS} FROM t"))
 def _transfers(spark, folder):
-    return transfers(spark, folder)
+    return ledger.transfers(Tables(spark, folder).raw_transfers(text_time=True))
 
 
 @query(

@@ -36,18 +36,26 @@ class Tables:
             .select(F.col("c_custkey").alias("account"), currency.alias("currency"))
         )
 
-    def raw_transfers(self, currencies: bool = True) -> DataFrame:
-        """Transactions as ingested: text date and time, bank locations that vary.
+    def raw_transfers(self, currencies: bool = True, text_time: bool = False) -> DataFrame:
+        """Transactions with bank locations that vary.
 
-        `currencies=False` leaves out the two currency joins where they are not read.
+        `text_time` splits the time into a date text and a time text, as a raw file
+        has them. `currencies=False` leaves out the two currency joins where they
+        are not read.
         """
+        if text_time:
+            time = [
+                F.date_format("o_orderdate", "yyyy-MM-dd").alias("date"),
+                F.date_format("o_orderdate", "HH:mm:ss").alias("time"),
+            ]
+        else:
+            time = [F.col("o_orderdate").alias("date_time")]
         accounts = self.customer.agg(F.count("*")).scalar()
         receiver = F.pmod(F.col("o_custkey") * 7 + F.col("o_orderkey") * 13, accounts)
         flagged = F.pmod(scramble("o_orderkey"), F.lit(50)) == 0
         raw = self.orders.select(
             F.col("o_orderkey").alias("id"),
-            F.date_format("o_orderdate", "yyyy-MM-dd").alias("date"),
-            F.date_format("o_orderdate", "HH:mm:ss").alias("time"),
+            *time,
             F.col("o_custkey").alias("sender_account"),
             receiver.alias("receiver_account"),
             F.col("o_totalprice").alias("amount"),
