@@ -29,15 +29,25 @@ def time_columns(df: DataFrame, ts: str) -> DataFrame:
     )
 
 
-def bucket_start(ts: Column | str, minutes: Column | int) -> Column:
-    """Start of the epoch-aligned bucket of `minutes` width; width may be a column."""
+def epoch_minute(ts: Column | str) -> Column:
+    """Whole minutes since 1970-01-01 00:00 as a long."""
     stamp = F.col(ts) if isinstance(ts, str) else ts
-    width = F.lit(minutes).cast("long") if isinstance(minutes, int) else minutes.cast("long")
-    elapsed = (
-        F.datediff(F.to_date(stamp), F.lit("1970-01-01").cast("date")).cast("long") * 1440
-        + F.hour(stamp) * 60
-        + F.minute(stamp)
-    )
-    aligned = (elapsed - F.pmod(elapsed, width)).cast("int")
-    origin = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
-    return origin + F.make_dt_interval(mins=aligned)
+    days = F.datediff(F.to_date(stamp), F.lit("1970-01-01").cast("date")).cast("long")
+    return days * 1440 + F.hour(stamp) * 60 + F.minute(stamp)
+
+
+def align(minute: Column, width: Column | int) -> Column:
+    """Start minute of the epoch-aligned bucket of `width` minutes."""
+    step = F.lit(width).cast("long") if isinstance(width, int) else width.cast("long")
+    return minute - F.pmod(minute, step)
+
+
+def minute_timestamp(minute: Column) -> Column:
+    """Zone-free timestamp of an epoch minute."""
+    return F.timestamp_add("MINUTE", minute, F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"))
+
+
+def utc(ts: Column | str) -> Column:
+    """An instant as zone-free UTC time, whatever the session zone is."""
+    stamp = F.col(ts) if isinstance(ts, str) else ts
+    return F.convert_timezone(None, F.lit("UTC"), stamp.cast("timestamp_ntz"))

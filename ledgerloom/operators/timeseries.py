@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerloom.functions.temporal import bucket_start
+from ledgerloom.functions.temporal import align, epoch_minute, minute_timestamp
 
 # Series granularities in minutes.
 GRANULARITIES = {
@@ -72,7 +72,7 @@ def hub_series(
     explosion over granularities runs on the reduced series.
     """
     base = int(np.gcd.reduce(list(granularities.values())))
-    fine = df.groupBy(F.col(hub).alias("hub_id"), bucket_start(ts, base).alias("fine")).agg(
+    fine = df.groupBy(F.col(hub).alias("hub_id"), align(epoch_minute(ts), base).alias("fine")).agg(
         *[F.sum(value).alias(name) for name, value in measures.items()]
     )
     steps = F.array(
@@ -83,8 +83,14 @@ def hub_series(
     )
     return (
         fine.withColumn("step", F.explode(steps))
-        .groupBy("hub_id", F.col("step.granularity").alias("granularity"), bucket_start("fine", F.col("step.minutes")).alias("bucket"))
+        .groupBy(
+            "hub_id",
+            F.col("step.granularity").alias("granularity"),
+            align(F.col("fine"), F.col("step.minutes")).alias("minute"),
+        )
         .agg(*[F.sum(name).alias(name) for name in measures])
+        .withColumn("minute", minute_timestamp(F.col("minute")))
+        .withColumnRenamed("minute", "bucket")
     )
 
 

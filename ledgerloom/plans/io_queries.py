@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ledgerloom.functions.temporal import time_columns
+from ledgerloom.functions.temporal import time_columns, utc
 from ledgerloom.functions.text import normalize_columns
 from ledgerloom.operators import logs
 from ledgerloom.operators.graph_model import EDGE_PROPERTIES
@@ -226,7 +226,7 @@ def _engine_log_lines(spark, folder):
     """Every event as a log record in one of two layouts; some have no time."""
     e = Tables(spark, folder).events
     wrap = F.pmod("event_id", F.lit(2)) == 0
-    stamp = F.date_format("ts", "yyyy-MM-dd HH:mm:ss")
+    stamp = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'")
     first = F.struct(
         F.when(F.pmod("event_id", F.lit(10)) != 0, stamp).alias("timestamp"),
         F.upper("event_type").alias("level"),
@@ -257,7 +257,7 @@ def _json_log_normalize(spark, folder):
     _engine_log_lines(spark, folder).write.text(path)
     flat = logs.normalize_engine_logs(logs.read_engine_logs(spark, path), "ledger-export", "driver")
     kept = F.coalesce(F.get_json_object("kv", "$.message"), F.get_json_object("kv", "$.formattedMessage"))
-    return flat.withColumn("kv_message", kept).withColumn("ts", F.col("ts").cast("timestamp_ntz")).drop("kv")
+    return flat.withColumn("kv_message", kept).withColumn("ts", utc("ts")).drop("kv")
 
 
 @query(
@@ -286,5 +286,5 @@ def _jsonl_corrupt_capture(spark, folder):
     Tables(spark, folder).events.select(line.alias("value")).write.text(path)
     records = logs.read_app_logs(spark, path, "ledger-export", "driver")
     return records.select(
-        F.col("ts").cast("timestamp_ntz").alias("ts"), "level", "logger", "message", F.get_json_object("kv", "$.raw").alias("raw")
+        utc("ts").alias("ts"), "level", "logger", "message", F.get_json_object("kv", "$.raw").alias("raw")
     )
