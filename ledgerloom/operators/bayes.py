@@ -67,10 +67,19 @@ def gaussian_predict(
 
 
 def categorical_predict(
-    train: DataFrame, df: DataFrame, features: Sequence[str], label: str, alpha: float = 1.0
+    train: DataFrame,
+    df: DataFrame,
+    features: Sequence[str],
+    label: str,
+    alpha: float = 1.0,
+    least_kinds: int = 0,
+    priors: dict | None = None,
 ) -> DataFrame:
     """Adds `prediction` from additively smoothed category frequencies of `train`.
 
+    A feature has as many categories as were seen, but no fewer than `least_kinds`.
+    Given `priors` (label to share) replace the empirical ones.
+
     A category never seen with a class counts as zero there. All counts come from
     one pass; each feature's table has one row per category.
     """
@@ -94,16 +103,30 @@ def categorical_predict(
         table = tables.filter(F.col("f") == i).select(F.col("v").alias(f"__v{i}"), F.col("seen").alias(f"__c{i}"))
         scored = scored.join(table, F.col(name).cast("string").eqNullSafe(F.col(f"__v{i}")), "left")
 
+    given = F.create_map(*[F.lit(x) for kv in priors.items() for x in kv]) if priors else None
+
     def score(c: Column) -> Column:
-        result = F.ln(c["n"] / F.col("__model.total"))
+        result = F.ln(given[c["label"]] if priors else c["n"] / F.col("__model.total"))
         for i in range(len(features)):
             seen = F.coalesce(F.try_element_at(F.col(f"__c{i}"), c["label"]), F.lit(0))
-            result = result + F.ln((seen + alpha) / (c["n"] + alpha * F.col("__kinds")[i]))
+            result = result + F.ln((seen + alpha) / (c["n"] + alpha * F.greatest(F.col("__kinds")[i], F.lit(least_kinds))))
         return result
 
     return scored.withColumn("prediction", _best(F.col("__model.classes"), score)).select(*df.columns, "prediction")
 
 
+def bernoulli_predict(
+    train: DataFrame, df: DataFrame, features: Sequence[str], label: str, thresholds: dict | float = 0.0, alpha: float = 1.0
+) -> DataFrame:
+    """Bernoulli naive Bayes on `feature > threshold`: a categorical one with two categories."""
+    cut = thresholds if isinstance(thresholds, dict) else dict.fromkeys(features, thresholds)
+    above = {f"__b_{f}": (F.col(f) > cut[f]).cast("int") for f in features}
+    scored = categorical_predict(
+        train.withColumns(above), df.withColumns(above), list(above), label, alpha, least_kinds=2
+    )
+    return scored.select(*df.columns, "prediction")
+
+
 def accuracy(df: DataFrame, label: str, prediction: str = "prediction") -> DataFrame:
     return df.agg(
         F.count("*").alias("n"), F.avg((F.col(label) == F.col(prediction)).cast("double")).alias("accuracy")

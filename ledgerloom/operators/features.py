@@ -94,6 +94,18 @@ def uniform_bins(df: DataFrame, column: str, bins: int) -> DataFrame:
     return df.withColumn(f"{column}_bin", F.least(number, F.lit(bins - 1).cast("long")))
 
 
+def quantile_bins(df: DataFrame, column: str, bins: int, max_group_rows: int = MAX_GROUP_ROWS) -> DataFrame:
+    """Bin number between exact quantiles; bins are left-closed and the last one is closed."""
+    rows = exact_quantiles(df, column, [i / bins for i in range(bins + 1)], (), max_group_rows)
+    # edges that coincide, or lie on either end, would make bins without width
+    ends = F.array(F.min("quantile"), F.max("quantile"))
+    edges = rows.agg(F.sort_array(F.array_except(F.collect_set("quantile"), ends))).scalar()
+    edge = lambda i: F.try_element_at(F.col("__edges"), F.lit(i))
+    passed = sum((F.coalesce((F.col(column) >= edge(i)).cast("int"), F.lit(0)) for i in range(1, bins)), F.lit(0))
+    number = F.when(F.col(column).isNotNull(), passed)
+    return df.withColumn("__edges", edges).withColumn(f"{column}_bin", number).drop("__edges")
+
+
 def binarize(df: DataFrame, column: str, threshold: float = 0.0) -> DataFrame:
     return df.withColumn(f"{column}_bin", (F.col(column) > threshold).cast("int"))
 

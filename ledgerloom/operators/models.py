@@ -22,7 +22,6 @@ from pyspark.ml.feature import (
     Bucketizer,
     FeatureHasher,
     OneHotEncoder,
-    QuantileDiscretizer,
     RobustScaler,
     SQLTransformer,
     StandardScaler,
@@ -203,11 +202,6 @@ def hashed_features(df: DataFrame, columns: Sequence[str], buckets: int) -> Data
     return hasher.transform(df)
 
 
-def quantile_bins(df: DataFrame, column: str, bins: int) -> DataFrame:
-    cutter = QuantileDiscretizer(inputCol=column, outputCol=f"{column}_bin", numBuckets=bins)
-    return cutter.fit(df).transform(df)
-
-
 def kmeans_bins(df: DataFrame, column: str, bins: int) -> DataFrame:
     """Bins between the midpoints of one-dimensional k-means centres."""
     points = VectorAssembler(inputCols=[column], outputCol="__x").transform(df)

@@ -145,9 +145,18 @@ def _feature_hash(spark, folder):
     return hashed.select("id", F.col("hashed").cast("string").alias("hashed"))
 
 
-@query("quantile_bins")
+@query(
+    "quantile_bins",
+    "SELECT o_orderkey, "
+    + " + ".join(
+        f"CASE WHEN o_totalprice >= (SELECT quantile_cont(o_totalprice, {i / 6!r}) FROM orders) THEN 1 ELSE 0 END"
+        for i in range(1, 6)
+    )
+    + " AS o_totalprice_bin FROM orders",
+)
 def _quantile_bins(spark, folder):
-    return models.quantile_bins(Tables(spark, folder).orders.select("o_orderkey", "o_totalprice"), "o_totalprice", 5)
+    orders = Tables(spark, folder).orders.select("o_orderkey", "o_totalprice")
+    return features.quantile_bins(orders, "o_totalprice", 6).drop("o_totalprice")
 
 
 @query("kmeans_bins")
@@ -222,6 +231,26 @@ def _clf_categorical_nb(spark, folder):
     return predicted.select("id", "label", "prediction")
 
 
+_OVER = ", ".join(f"CAST({f} > (SELECT avg({f}) FROM f) AS INTEGER) AS b_{f}" for f in NUMERIC)
+_ONES = ", ".join(f"sum(b_{f}) AS s_{f}" for f in NUMERIC)
+_BITS = " + ".join(
+    f"ln(CASE WHEN b_{f} = 1 THEN (s_{f} + 1.0) / (n + 2.0) ELSE (n - s_{f} + 1.0) / (n + 2.0) END)" for f in NUMERIC
+)
+
+
+@query(
+    "bernoulli_nb_exact",
+    f"""WITH {FRAME}, d AS (SELECT id, label, {_OVER} FROM f), c AS (SELECT label AS cl, count(*) AS n, {_ONES} FROM d GROUP BY label),
+      s AS (SELECT id, label, cl, ln(n / CAST((SELECT count(*) FROM d) AS DOUBLE)) + {_BITS} AS score FROM d CROSS JOIN c)
+      SELECT id, label, cl AS prediction FROM (
+        SELECT *, row_number() OVER (PARTITION BY id ORDER BY round(score, 9) DESC, cl) AS rn FROM s) WHERE rn = 1""",
+)
+def _bernoulli_nb_exact(spark, folder):
+    rows = frame(spark, folder).select("id", *NUMERIC, "label")
+    means = {f: rows.agg(F.avg(f)).scalar() for f in NUMERIC}
+    return bayes.bernoulli_predict(rows, rows, NUMERIC, "label", means).select("id", "label", "prediction")
+
+
 _KNN = """WITH n AS (SELECT a.vec_id AS query_id, b.vec_id AS neighbor_id, b.label,
     {distance} AS distance, row_number() OVER (PARTITION BY a.vec_id ORDER BY {distance}, b.vec_id) AS rank
   FROM embeddings a JOIN embeddings b ON a.vec_id <> b.vec_id)"""

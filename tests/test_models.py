@@ -100,6 +100,19 @@ def test_one_hot_refuses_many_categories(spark):
     assert coded.columns == ["c", "c_b"] and [r["c_b"] for r in coded.collect()] == [0, 1, 0]
 
 
+def test_quantile_bins_drop_empty_bins(spark):
+    df = spark.createDataFrame([(v,) for v in [1.0, 1.0, 1.0, 1.0, 2.0, 3.0, None]], "v double")
+    for limit in (0, 100):
+        got = [r["v_bin"] for r in features.quantile_bins(df, "v", 4, limit).collect()]
+        assert got == [0, 0, 0, 0, 1, 1, None]
+
+
+def test_least_kinds_and_priors(spark):
+    train = spark.createDataFrame([("a", 0), ("a", 0), ("a", 1)], "f string, label int")
+    flipped = bayes.categorical_predict(train, train, ["f"], "label", least_kinds=3, priors={0: 0.1, 1: 0.9})
+    assert {r["prediction"] for r in flipped.collect()} == {1}
+
+
 def test_ordinal_unknown(spark):
     coded = features.ordinal_encode(spark.createDataFrame([("b",), ("a",), (None,)], "c string"), "c", max_group_rows=0)
     assert {r["c"]: r["c_ord"] for r in coded.collect()} == {"a": 0, "b": 1, None: -1}
