@@ -223,12 +223,12 @@ def _size_probe(spark, folder):
 
 
 def _engine_log_lines(spark, folder):
-    """Every event as a log record in one of two layouts; some have no time."""
+    """Every event as a log record in one of two layouts; views have no time."""
     e = Tables(spark, folder).events
-    wrap = F.pmod("event_id", F.lit(2)) == 0
+    wrap = F.col("event_type").isin("view", "error")
     stamp = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'")
     first = F.struct(
-        F.when(F.pmod("event_id", F.lit(10)) != 0, stamp).alias("timestamp"),
+        F.when(F.col("event_type") != "view", stamp).alias("timestamp"),
         F.upper("event_type").alias("level"),
         F.concat(F.lit("app."), F.col("event_type")).alias("logger"),
         F.col("user_id").cast("string").alias("thread"),
@@ -246,11 +246,11 @@ def _engine_log_lines(spark, folder):
 
 @query(
     "json_log_normalize",
-    """SELECT CASE WHEN event_id % 2 = 0 THEN date_trunc('second', ts)
+    """SELECT CASE WHEN event_type = 'error' THEN date_trunc('second', ts)
                    ELSE TIMESTAMP '1970-01-01' + to_milliseconds(event_id * 1000 + 7) END AS ts,
               upper(event_type) AS level, 'app.' || event_type AS logger, CAST(user_id AS VARCHAR) AS thread,
               'driver' AS node, 'ledger-export' AS app, props AS message, props AS kv_message
-       FROM events WHERE event_id % 10 <> 0""",
+       FROM events WHERE event_type <> 'view'""",
 )
 def _json_log_normalize(spark, folder):
     path = fresh_path(spark, "engine-logs")
@@ -262,26 +262,28 @@ def _json_log_normalize(spark, folder):
 
 @query(
     "jsonl_corrupt_capture",
-    """SELECT CASE WHEN event_id % 7 = 0 OR event_id % 5 = 0 THEN NULL ELSE date_trunc('second', ts) END AS ts,
-              CASE WHEN event_id % 7 = 0 THEN 'ERROR' ELSE 'INFO' END AS level,
-              CASE WHEN event_id % 7 = 0 THEN 'etl.parser' ELSE event_type END AS logger,
-              CASE WHEN event_id % 7 = 0 THEN '{"broken": ' || event_id ELSE 'user ' || user_id END AS message,
-              CASE WHEN event_id % 7 = 0 THEN '{"broken": ' || event_id END AS raw
-       FROM events WHERE event_id % 9 <> 0""",
+    """SELECT CASE WHEN event_type IN ('error', 'click') THEN NULL ELSE date_trunc('second', ts) END AS ts,
+              CASE WHEN event_type = 'error' THEN 'ERROR' ELSE 'INFO' END AS level,
+              CASE WHEN event_type = 'error' THEN 'etl.parser' ELSE event_type END AS logger,
+              CASE WHEN event_type = 'error' THEN '{"broken": ' || event_id ELSE 'user ' || user_id END AS message,
+              CASE WHEN event_type = 'error' THEN '{"broken": ' || event_id END AS raw
+       FROM events WHERE event_type <> 'view'""",
 )
 def _jsonl_corrupt_capture(spark, folder):
-    """Good, broken and blank lines; some good ones with an unreadable time."""
-    every = lambda n: F.pmod("event_id", F.lit(n)) == 0
+    """Every event as a log line: errors are broken JSON, views are blank, clicks have an unreadable time."""
+    kind = F.col("event_type")
     good = F.to_json(
         F.struct(
-            F.when(every(5), "yesterday").otherwise(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'+0000'")).alias("ts"),
+            F.when(kind == "click", "yesterday")
+            .otherwise(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'+0000'"))
+            .alias("ts"),
             F.lit("INFO").alias("level"),
-            F.col("event_type").alias("logger"),
+            kind.alias("logger"),
             F.concat(F.lit("user "), F.col("user_id")).alias("message"),
         )
     )
     broken = F.concat(F.lit('{"broken": '), F.col("event_id"))
-    line = F.when(every(9), "   ").when(every(7), broken).otherwise(good)
+    line = F.when(kind == "view", "   ").when(kind == "error", broken).otherwise(good)
     path = fresh_path(spark, "app-logs")
     Tables(spark, folder).events.select(line.alias("value")).write.text(path)
     records = logs.read_app_logs(spark, path, "ledger-export", "driver")
