@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.operators.ordered import exact_quantiles, join_null_safe, running
-from ledgerloom.runtime import MAX_GROUP_ROWS
+from ledgerloom.runtime import MAX_GROUP_ROWS, spread
 
 
 def _silverman(n: Column, sd: Column) -> Column:
@@ -26,15 +26,6 @@ def _with_stats(rows: DataFrame, stats: DataFrame, keys: Sequence[str]) -> DataF
     return rows.withColumn("__s", packed).select(*rows.columns, *[F.col(f"__s.{n}").alias(n) for n in names])
 
 
-def _spread(df: DataFrame, *columns: str) -> DataFrame:
-    """Keep all shuffle partitions: few rows with much arithmetic each would
-    otherwise be merged into one task. Hashing the columns once more keeps this
-    apart from the partitioning the rows already have.
-    """
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return df.repartition(parts, F.xxhash64(*columns))
-
-
 def kde(
     df: DataFrame,
     value: str,
@@ -60,7 +51,7 @@ def kde(
     )
     weighted = data.groupBy(*keys, "v").agg(F.count("*").alias("__w"))
     step = (F.col("__hi") - F.col("__lo")) / (points - 1)
-    scaled = _with_stats(_spread(weighted, *keys, "v"), stats, keys).select(
+    scaled = _with_stats(spread(weighted, *keys, "v"), stats, keys).select(
         *keys,
         "__w",
         ((F.col("__lo") - F.col("v")) / F.col("__h")).alias("__z0"),
@@ -94,7 +85,7 @@ def kde_2d(
     )
     weighted = data.groupBy(*keys, "vx", "vy").agg(F.count("*").alias("__w"))
     scale = lambda low, high, h: (F.col(high) - F.col(low)) / (points - 1) / F.col(h)
-    scaled = _with_stats(_spread(weighted, *keys, "vx", "vy"), stats, keys).select(
+    scaled = _with_stats(spread(weighted, *keys, "vx", "vy"), stats, keys).select(
         *keys,
         "__w",
         ((F.col("__x0") - F.col("vx")) / F.col("__hx")).alias("__zx"),

@@ -12,7 +12,7 @@ from ledgerloom.operators.timeseries import rounded
 from ledgerloom.plans.fixtures import with_transfers
 from ledgerloom.plans.ledger_queries import transfers
 from ledgerloom.plans.registry import query
-from ledgerloom.runtime import fresh_path
+from ledgerloom.runtime import fresh_path, spread
 from ledgerloom.sinks.files import write_csv
 from ledgerloom.sources.files import load_csv
 from ledgerloom.sources.tables import Tables
@@ -168,7 +168,7 @@ def _kmeans_bins(spark, folder):
 def _rf_impute(spark, folder):
     rows = frame(spark, folder).select("id", *NUMERIC, "price")
     holed = rows.withColumn("price", F.when(F.pmod("id", F.lit(5)) != 0, F.col("price")))
-    return models.forest_impute(holed, "price", NUMERIC)
+    return models.forest_impute(spread(holed, "id"), "price", NUMERIC)
 
 
 # ---- exact classifiers -------------------------------------------------------
@@ -282,7 +282,8 @@ def _clf_knn(spark, folder):
 
 
 def _training(spark, folder):
-    return frame(spark, folder).withColumn("label", F.col("label").cast("double")).persist()
+    rows = frame(spark, folder).withColumn("label", F.col("label").cast("double"))
+    return spread(rows, "id").persist()
 
 
 def _scaled() -> list:
@@ -316,7 +317,7 @@ for _name in CLASSIFIERS:
 
 
 def _folded(spark, folder, folds: int):
-    return stratified_folds(_training(spark, folder), "id", "label", folds).persist()
+    return spread(stratified_folds(_training(spark, folder), "id", "label", folds), "id").persist()
 
 
 @query("random_search")

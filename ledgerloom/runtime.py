@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # Rows of one key that a single window or percentile task may hold. Larger
 # groups take the range-chunked way in operators.ordered.
@@ -40,3 +41,12 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     path = fresh_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame, *columns: str) -> DataFrame:
+    """Keep all shuffle partitions: few rows with much arithmetic each would
+    otherwise be merged into one task. Hashing the columns once more keeps this
+    apart from the partitioning the rows already have.
+    """
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(parts, F.xxhash64(*columns))
