@@ -5,14 +5,20 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Fixed value: text form of a second-grain date and time.
-DATE_TIME = r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}$"
+# A date and a time as text. Schema inference turns a date column into dates or
+# midnights and a time column into times of some day, so both may carry a filler.
+DATE_TIME = r"^(\d{4}-\d{2}-\d{2})(?: 00:00:00)? (?:\d{4}-\d{2}-\d{2} )?(\d{2}:\d{2}:\d{2})$"
 
 
 def assemble_timestamp(date: Column | str, time: Column | str) -> Column:
-    """Timestamp from a date text and a time text; NULL when either is malformed."""
-    joined = F.concat_ws(" ", date, time)
-    return F.when(joined.rlike(DATE_TIME), joined.try_cast("timestamp_ntz"))
+    """Timestamp from a date and a time column; NULL when either is malformed.
+
+    Both may be text or what schema inference makes of it.
+    """
+    column = lambda c: (F.col(c) if isinstance(c, str) else c).cast("string")
+    joined = F.concat_ws(" ", column(date), column(time))
+    text = F.regexp_replace(joined, DATE_TIME, "$1 $2")
+    return F.when(joined.rlike(DATE_TIME), text.try_cast("timestamp_ntz"))
 
 
 def time_columns(df: DataFrame, ts: str) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 # Alternative field names, the level and logger given to a line that
@@ -78,3 +78,13 @@ def parse_app_lines(lines: DataFrame, app: str, node: str) -> DataFrame:
         F.when(bad, F.left("line", F.lit(BAD_MESSAGE_CHARS))).otherwise(F.col("r.message")).alias("message"),
         F.when(bad, raw).otherwise(F.col("line")).alias("kv"),
     )
+
+
+def append_records(records: DataFrame, path: str) -> int:
+    """Append normalised records to a log table and return how many were written.
+
+    The rows are counted while they are written.
+    """
+    written = Observation()
+    records.observe(written, F.count("*").alias("n")).write.mode("append").parquet(path)
+    return written.get["n"]

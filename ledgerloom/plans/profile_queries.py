@@ -449,7 +449,7 @@ _chi2("chi2_received_currency", "received_currency_3", _COLLAPSED)
 
 
 @query(
-    "chi2_titanic_style",
+    "chi2_yates",
     _chi2_sql(
         "l_linestatus",
         "flagged",
@@ -457,7 +457,7 @@ _chi2("chi2_received_currency", "received_currency_3", _COLLAPSED)
         "SELECT l_linestatus, CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END AS flagged FROM lineitem",
     ),
 )
-def _chi2_titanic_style(spark, folder):
+def _chi2_yates(spark, folder):
     lines = Tables(spark, folder).lineitem.select("l_linestatus", (F.col("l_returnflag") == "R").cast("int").alias("flagged"))
     result = ct.chi2_cramers_v(lines, "l_linestatus", "flagged", bias_corrected=False, yates=True)
     return rounded(result, 6, "chi2", "cramers_v")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,8 +34,8 @@ def pending_buckets(sizes: DataFrame, manifest: DataFrame) -> DataFrame:
     return sizes.join(manifest.select("bucket"), "bucket", "left_anti")
 
 
-def export_buckets(df: DataFrame, path: str, manifest_path: str) -> DataFrame:
-    """Write the buckets the manifest does not list, then list them.
+def export_buckets(df: DataFrame, path: str, manifest_path: str, sort: Sequence[str] = ()) -> DataFrame:
+    """Write the buckets the manifest does not list, sorted inside each file, then list them.
 
     All pending buckets are written by one job. If it dies, the manifest is
     unchanged and the next run replaces whatever it left behind.
@@ -45,6 +47,7 @@ def export_buckets(df: DataFrame, path: str, manifest_path: str) -> DataFrame:
     if sizes:
         (
             todo.hint("rebalance", "bucket")
+            .sortWithinPartitions("bucket", *sort)
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy("bucket")
