@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.hashing import bernoulli
@@ -83,29 +83,37 @@ def base_nodes(nodes: DataFrame, statements: DataFrame) -> DataFrame:
     return nodes.join(state, "account_number", "left")
 
 
-def monthly_close(statements: DataFrame) -> DataFrame:
-    """Balance after the last movement of each (account, currency, month), long form.
-
-    A missing currency is spelled NA, because a map key cannot be NULL.
+def _month_groups(statements: DataFrame):
+    """Statements grouped by account, currency and month; a missing currency is spelled
+    NA, because a map key cannot be NULL.
     """
-    return (
-        statements.groupBy(
-            F.col("account").alias("account_number"),
-            F.coalesce("currency", F.lit("NA")).alias("currency"),
-            F.year("date_time").alias("year"),
-            F.month("date_time").alias("month"),
-        )
-        .agg(F.max_by("running_balance", ledger_position()).alias("balance_close"))
-        .withColumn("prop_name", F.format_string("mclose_%04d_%02d_%s", "year", "month", "currency"))
+    return statements.groupBy(
+        F.col("account").alias("account_number"),
+        F.coalesce("currency", F.lit("NA")).alias("currency"),
+        F.year("date_time").alias("year"),
+        F.month("date_time").alias("month"),
     )
 
 
+def _close_name() -> Column:
+    return F.format_string("mclose_%04d_%02d_%s", "year", "month", "currency")
+
+
+def _close_map(name: Column, balance: Column) -> Column:
+    """At most one entry per month and currency."""
+    return F.map_from_entries(F.array_sort(F.collect_list(F.struct(name.alias("name"), balance.alias("balance")))))
+
+
+def monthly_close(statements: DataFrame) -> DataFrame:
+    """Balance after the last movement of each (account, currency, month), long form."""
+    last = F.max_by("running_balance", ledger_position())
+    return _month_groups(statements).agg(last.alias("balance_close")).withColumn("prop_name", _close_name())
+
+
 def monthly_close_map(closes: DataFrame) -> DataFrame:
-    """(account_number, mclose_map): at most one entry per month and currency."""
-    entry = F.struct("prop_name", "balance_close")
-    return closes.groupBy("account_number").agg(
-        F.map_from_entries(F.array_sort(F.collect_list(entry))).alias("mclose_map")
-    )
+    """(account_number, mclose_map)."""
+    packed = _close_map(F.col("prop_name"), F.col("balance_close"))
+    return closes.groupBy("account_number").agg(packed.alias("mclose_map"))
 
 
 def monthly_close_wide(closes: DataFrame, names: list[str] | None = None, max_columns: int = 5000) -> DataFrame:
@@ -118,8 +126,24 @@ def monthly_close_wide(closes: DataFrame, names: list[str] | None = None, max_co
     return closes.groupBy("account_number").pivot("prop_name", names).agg(F.first("balance_close"))
 
 
-def enriched_nodes(base: DataFrame, closes: DataFrame) -> DataFrame:
-    return base.join(monthly_close_map(closes), "account_number", "left")
+def enriched_nodes(nodes: DataFrame, statements: DataFrame) -> DataFrame:
+    """Nodes with current balance, first and last movement, and the map of monthly closes.
+
+    The months of an account are summed up first and its state follows from them,
+    so the ledger is read once.
+    """
+    months = _month_groups(statements).agg(
+        F.max_by("running_balance", ledger_position()).alias("balance"),
+        F.max(ledger_position()).alias("last"),
+        F.min("date_time").alias("first"),
+    )
+    state = months.groupBy("account_number").agg(
+        F.max_by("balance", "last").alias("current_balance"),
+        F.max("last.date_time").alias("last_seen"),
+        F.min("first").alias("first_seen"),
+        _close_map(_close_name(), F.col("balance")).alias("mclose_map"),
+    )
+    return nodes.join(state, "account_number", "left")
 
 
 def triplets(edges: DataFrame, nodes: DataFrame) -> DataFrame:

@@ -54,8 +54,7 @@ def graph_frames(spark: SparkSession, out: str) -> tuple[DataFrame, DataFrame]:
     accounts = spark.read.parquet(f"{out}/accounts")
     sent = spark.read.parquet(f"{out}/transferences")
     statements = spark.read.parquet(f"{out}/statements")
-    base = graph.base_nodes(graph.nodes(accounts), statements)
-    nodes = graph.enriched_nodes(base, graph.monthly_close(statements))
+    nodes = graph.enriched_nodes(graph.nodes(accounts), statements)
     return nodes, graph.enrich_edges(graph.edges(sent), statements)
 
 

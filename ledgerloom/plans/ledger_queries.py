@@ -245,11 +245,10 @@ def _monthly_close_wide(spark, folder):
 )
 def _nodes_enriched(spark, folder):
     rows = statements(spark, folder, currencies=True)
-    base = graph.base_nodes(graph.nodes(Tables(spark, folder).accounts()), rows)
-    full = graph.enriched_nodes(base, graph.monthly_close(rows))
+    full = graph.enriched_nodes(graph.nodes(Tables(spark, folder).accounts()), rows)
     closes = F.map_values("mclose_map")
     shown = full.select(
-        *base.columns,
+        *[name for name in full.columns if name != "mclose_map"],
         F.size("mclose_map").cast("long").alias("n_closes"),
         F.array_min(F.map_keys("mclose_map")).alias("first_close"),
         F.aggregate(closes, F.lit(0.0), lambda total, close: total + close).alias("sum_closes"),
