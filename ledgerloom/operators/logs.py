@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+import uuid
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Alternative field names, the level and logger given to a line that
@@ -80,11 +82,19 @@ def parse_app_lines(lines: DataFrame, app: str, node: str) -> DataFrame:
     )
 
 
-def append_records(records: DataFrame, path: str) -> int:
+def append_records(records: DataFrame, path: str, batch: str | None = None) -> int:
     """Append normalised records to a log table and return how many were written.
 
-    The rows are counted while they are written.
+    Each call fills a batch folder of its own, so the count comes from the footers
+    of the files just written. Writing a named batch again replaces it.
     """
-    written = Observation()
-    records.observe(written, F.count("*").alias("n")).write.mode("append").parquet(path)
-    return written.get["n"]
+    batch = batch or uuid.uuid4().hex
+    marked = records.withColumn("batch", F.lit(batch))
+    (
+        marked.write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("batch")
+        .parquet(path)
+    )
+    table = records.sparkSession.read.schema(marked.schema).parquet(path)
+    return table.filter(F.col("batch") == batch).count()

@@ -52,4 +52,6 @@ def test_log_append_counts_what_it_writes(spark, tmp_path):
     path = str(tmp_path / "log")
     assert logs.append_records(records, path) == 2
     assert logs.append_records(records, path) == 2
-    assert spark.read.parquet(path).count() == 4
+    assert logs.append_records(records.limit(1), path, batch="a1") == 1
+    assert logs.append_records(records, path, batch="a1") == 2
+    assert spark.read.parquet(path).count() == 6
