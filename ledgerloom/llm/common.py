@@ -6,6 +6,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -38,7 +39,7 @@ def pieces(batches: Iterator[pa.RecordBatch], column: str, limit: int) -> Iterat
     for batch in batches:
         if not batch.num_rows:
             continue
-        size = pa.compute.binary_length(batch.column(column)).fill_null(0).to_numpy(zero_copy_only=False)
+        size = pc.binary_length(batch.column(column)).fill_null(0).to_numpy(zero_copy_only=False)
         slot = np.cumsum(size, dtype=np.int64) // limit
         cuts = np.flatnonzero(np.diff(slot)) + 1
         for start, stop in zip([0, *cuts], [*cuts, batch.num_rows]):
