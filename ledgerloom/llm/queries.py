@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from ledgerloom.llm import exact_dedup, near_dedup, packing, substring_dedup
+from ledgerloom.llm import exact_dedup, near_dedup, packing, secret_scan, substring_dedup
 from ledgerloom.llm.common import Query
 
 QUERIES: dict[str, Query] = {
     "op3_minhash_near_dedup": near_dedup.op3_minhash_near_dedup,
     "op6_substring_dedup": substring_dedup.op6_substring_dedup,
+    "op7_secret_scan": secret_scan.op7_secret_scan,
     "op8_best_fit_packing": packing.op8_best_fit_packing,
     "op9_exact_dedup": exact_dedup.op9_exact_dedup,
 }
