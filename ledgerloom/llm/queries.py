@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from ledgerloom.llm import exact_dedup, language_id, near_dedup, packing, secret_scan, substring_dedup, url_filter
+from ledgerloom.llm import exact_dedup, language_id, line_dedup, near_dedup, packing, secret_scan, substring_dedup, url_filter
 from ledgerloom.llm.common import Query
 
 QUERIES: dict[str, Query] = {
@@ -13,8 +13,10 @@ QUERIES: dict[str, Query] = {
     "op7_secret_scan": secret_scan.op7_secret_scan,
     "op8_best_fit_packing": packing.op8_best_fit_packing,
     "op9_exact_dedup": exact_dedup.op9_exact_dedup,
+    "op10_line_dedup": line_dedup.op10_line_dedup,
 }
 
 ORACLES: dict[str, str] = {
     "op9_exact_dedup": exact_dedup.SQL,
+    "op10_line_dedup": line_dedup.SQL,
 }
