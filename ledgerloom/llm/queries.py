@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from ledgerloom.llm import exact_dedup, language_id, line_dedup, near_dedup, packing, secret_scan, substring_dedup, url_filter
+from ledgerloom.llm import doc_fingerprint, exact_dedup, language_id, line_dedup, near_dedup, packing, secret_scan, substring_dedup, url_filter
 from ledgerloom.llm.common import Query
 
 QUERIES: dict[str, Query] = {
     "op2_language_id": language_id.op2_language_id,
     "op3_minhash_near_dedup": near_dedup.op3_minhash_near_dedup,
+    "op4_doc_fingerprint": doc_fingerprint.op4_doc_fingerprint,
     "op5_url_filter": url_filter.op5_url_filter,
     "op6_substring_dedup": substring_dedup.op6_substring_dedup,
     "op7_secret_scan": secret_scan.op7_secret_scan,
