@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from ledgerloom.llm import doc_fingerprint, exact_dedup, language_id, line_dedup, near_dedup, packing, secret_scan, substring_dedup, url_filter
+from ledgerloom.llm import doc_fingerprint, exact_dedup, language_id, line_dedup, near_dedup, packing, secret_scan, sentence_pieces, substring_dedup, url_filter
 from ledgerloom.llm.common import Query
 
 QUERIES: dict[str, Query] = {
+    "op1_sentence_pieces": sentence_pieces.op1_sentence_pieces,
     "op2_language_id": language_id.op2_language_id,
     "op3_minhash_near_dedup": near_dedup.op3_minhash_near_dedup,
     "op4_doc_fingerprint": doc_fingerprint.op4_doc_fingerprint,
