@@ -17,6 +17,7 @@ an empty result; other columns are ignored.
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from bisect import bisect_right
 from collections import Counter
@@ -32,17 +33,30 @@ from ledgerloom.llm.common import as_bytes, documents, pieces, stage, texts
 
 CAPACITY = 4096
 END_ID = 1
-CACHE_WORDS = 400_000  # words whose ids a worker remembers
+CACHE_WORDS = 1_000_000  # words whose ids a worker remembers from task to task
 BATCH_BYTES = 4 << 20
 
 
+# The tokenizer cuts between a letter and a lone full stop or comma at a word's end.
+STOP = re.compile(rb"(?<=[a-z])([.,])(?=[\x20\x09-\x0d]|\Z)")
+
+
 class WordIds:
     """Little-endian ids of whole texts.
 
-    The tokenizer drops white space before anything else looks at it, so a text
-    has the ids of its words in turn, and the ids of a word can be remembered.
+    The tokenizer lower-cases and drops white space before anything else looks
+    at it, so a text has the ids of its words in turn, and the ids of a word can
+    be remembered. Texts that may hold special tokens, whose case counts, keep it.
     """
 
+    of_path: dict[str, WordIds] = {}
+
+    @classmethod
+    def of(cls, path: str) -> WordIds:
+        if path not in cls.of_path:
+            cls.of_path[path] = cls(path)
+        return cls.of_path[path]
+
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
@@ -51,8 +65,8 @@ class WordIds:
         self.known: dict[bytes, bytes] = {}
 
     def __call__(self, texts: list[bytes]) -> list[bytes]:
-        split = [text.split() for text in texts]
-        new = list(set().union(*split) - self.known.keys())
+        split = [STOP.sub(rb" \1", text if b"<|" in text else text.lower()).split() for text in texts]
+        new = [w for w in set().union(*split) if w not in self.known]
         if len(self.known) + len(new) > CACHE_WORDS:
             self.known = {}
             new = list(set().union(*split))
@@ -72,7 +86,7 @@ def token_pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: i
     end = np.array([end_id], "<u4").tobytes()
 
     def cut(batches):
-        encode, part, seen = WordIds(path), TaskContext.get().partitionId(), Counter()
+        encode, part, seen = WordIds.of(path), TaskContext.get().partitionId(), Counter()
         for batch in pieces(batches, "text", BATCH_BYTES):
             rows, ids = [], []
             for doc_id, encoded in zip(batch.column("doc_id").to_pylist(), encode(batch.column("text").to_pylist())):
