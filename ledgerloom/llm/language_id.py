@@ -34,6 +34,7 @@ RIDGE = 1e-2
 BATCH_BYTES = 4 << 20
 BLOCK = 128  # texts a presence matrix holds
 UNKNOWN = "und"
+LEAST_SCORE = 0.1  # what a filtering stage keeps; short clean texts score 0.15 and more
 MULTIPLIERS = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9))
 
 
@@ -110,26 +111,32 @@ def sample(labelled: DataFrame) -> tuple[list[str], list[str]]:
     return [r[2] for r in rows], [r[1] for r in rows]
 
 
+def judge(model: Model | None, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
+    names, scores = [UNKNOWN] * len(texts), np.zeros(len(texts))
+    usable = [i for i, t in enumerate(texts) if model is not None and has_letter(t)]
+    for at in range(0, len(usable), BLOCK):
+        rows = usable[at : at + BLOCK]
+        found = model.scores([texts[i] for i in rows])
+        best = found.argmax(1)
+        for i, k, value in zip(rows, best, found[np.arange(len(rows)), best]):
+            names[i], scores[i] = model.languages[k], min(1.0, max(0.0, float(value)))
+    return names, scores
+
+
+def shared(spark: SparkSession, model: Model | None):
+    return spark.sparkContext.broadcast(None if model is None else (model.landmarks, model.coefficients, model.languages))
+
+
 def identified(docs: DataFrame, model: Model | None, *carried: str) -> DataFrame:
     """The carried columns of every row with lang_pred and score, in one pass over `text`."""
     fields = [docs.schema[c] for c in carried]
     schema = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in fields) + "lang_pred string, score double"
-    shared = docs.sparkSession.sparkContext.broadcast(
-        None if model is None else (model.landmarks, model.coefficients, model.languages)
-    )
+    sent = shared(docs.sparkSession, model)
 
     def run(batches):
-        own = None if shared.value is None else Model(*shared.value)
+        own = None if sent.value is None else Model(*sent.value)
         for batch in pieces(batches, "text", BATCH_BYTES):
-            texts = batch.column("text").to_pylist()
-            names, scores = [UNKNOWN] * len(texts), np.zeros(len(texts))
-            usable = [i for i, t in enumerate(texts) if own is not None and has_letter(t)]
-            for at in range(0, len(usable), BLOCK):
-                rows = usable[at : at + BLOCK]
-                found = own.scores([texts[i] for i in rows])
-                best = found.argmax(1)
-                for i, k, value in zip(rows, best, found[np.arange(len(rows)), best]):
-                    names[i], scores[i] = own.languages[k], min(1.0, max(0.0, float(value)))
+            names, scores = judge(own, batch.column("text").to_pylist())
             yield pa.RecordBatch.from_arrays(
                 [batch.column(c) for c in carried] + [pa.array(names, pa.string()), pa.array(scores)],
                 names=[*carried, "lang_pred", "score"],
@@ -138,6 +145,22 @@ def identified(docs: DataFrame, model: Model | None, *carried: str) -> DataFrame
     return docs.select(*carried, "text").mapInArrow(run, schema)
 
 
+def recognised(docs: DataFrame, model: Model | None, least: float = LEAST_SCORE) -> DataFrame:
+    """The rows of `docs`, all columns, whose language is known with a score of `least` or more."""
+    sent = shared(docs.sparkSession, model)
+
+    @F.pandas_udf("lang_pred string, score double")
+    def found(text):
+        import pandas as pd
+
+        own = None if sent.value is None else Model(*sent.value)
+        names, scores = judge(own, [None if t is None or t != t else t for t in text])
+        return pd.DataFrame({"lang_pred": names, "score": scores})
+
+    rows = docs.select(F.struct(*docs.columns).alias("doc")).withColumn("found", found("doc.text"))
+    return rows.where((F.col("found.lang_pred") != UNKNOWN) & (F.col("found.score") >= least)).select("doc.*")
+
+
 def held_out(doc_id: Column) -> Column:
     return F.crc32(doc_id.cast("string")) % 5 == 0
 

@@ -277,5 +277,12 @@ def linked(docs: DataFrame, size: int = 2, percent: int = 80) -> DataFrame:
     )
 
 
+def deduplicated(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
+    """The rows of `docs`, all columns, with one document of each group; identical rows stay once."""
+    ids = linked(docs, size, percent).where("kept and doc_id is not null").select(F.col("doc_id").alias("kept_id")).distinct()
+    named = docs.join(ids, docs["doc_id"] == ids["kept_id"], "left_semi").dropDuplicates(["doc_id", "text"])
+    return named.unionByName(docs.where("doc_id is null"))
+
+
 def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linked(documents(spark, sf_dir), size=2, percent=80)
