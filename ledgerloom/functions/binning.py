@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from ledgerloom.functions.text import snake_name
+from ledgerloom.functions.text import snake_names
 
 # Edges and labels of the two binned columns.
 AGE_EDGES = [0, 3, 12, 18, 35, 60, math.inf]
@@ -29,9 +29,10 @@ def cut(column: str, edges: Sequence[float], labels: Sequence[str]) -> Column:
     return label
 
 
-def dummies(column: Column, values: Sequence[str], prefix: str) -> dict[str, Column]:
-    """One 0/1 integer column per listed value."""
+def dummies(column: Column, values: Sequence, prefix: str, skip: int = 0) -> dict[str, Column]:
+    """One 0/1 integer column per listed value, without the first `skip`; names that come out alike are numbered."""
+    names = snake_names([str(value) for value in values])
     return {
-        f"{prefix}_{snake_name(str(value))}": F.coalesce((column == F.lit(value)).cast("int"), F.lit(0))
-        for value in values
+        f"{prefix}_{name}": F.coalesce((column == F.lit(value)).cast("int"), F.lit(0))
+        for name, value in list(zip(names, values))[skip:]
     }

@@ -38,7 +38,7 @@ TICKET_PREFIX = r"([A-Za-z./]+)"
 
 
 def snake_name(name: str) -> str:
-    return re.sub(r"[^a-z0-9]+", "_", name.strip().lower()).strip("_")
+    return re.sub(r"[^a-z0-9]+", "_", name.strip().lower()).strip("_") or "column"
 
 
 def snake_names(names: Sequence[str]) -> list[str]:

@@ -8,8 +8,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.operators.ordered import exact_quantiles, join_null_safe, running
-from ledgerloom.runtime import MAX_GROUP_ROWS, spread
+from ledgerloom.operators.ordered import by_key, exact_quantiles, join_null_safe, quantile_grid, running
+from ledgerloom.runtime import spread
 
 
 def _silverman(n: Column, sd: Column) -> Column:
@@ -19,20 +19,30 @@ def _silverman(n: Column, sd: Column) -> Column:
 
 def _with_stats(rows: DataFrame, stats: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Attach one row of `stats` per key, or its only row when there is no key."""
+    names = [name for name in stats.columns if name not in keys]
     if keys:
-        return join_null_safe(rows, stats, keys)
-    names = stats.columns
+        # few classes: their statistics are looked up in place instead of shuffling the rows on them
+        packed = stats.select(F.struct(*keys).alias("__k"), F.struct(*names).alias("__s"))
+        own = by_key(packed, "__k", "__s")
+        found = rows.withColumn("__k", F.struct(*keys)).withColumn("__s", own)
+        return found.select(*rows.columns, *[F.col(f"__s.{n}").alias(n) for n in names])
     packed = stats.select(F.struct(*names).alias("s")).scalar()
     return rows.withColumn("__s", packed).select(*rows.columns, *[F.col(f"__s.{n}").alias(n) for n in names])
 
 
+def _ends(data: DataFrame, tails: tuple[float, float], keys: Sequence[str] = ()) -> DataFrame:
+    """keys, __lo, __hi: the exact quantiles of `v` at both tails."""
+    rows = exact_quantiles(data, "v", list(tails), keys, discrete=True)
+    at = lambda p: F.max(F.when(F.col("prob") == p, F.col("quantile")))
+    return rows.groupBy(*keys).agg(at(tails[0]).alias("__lo"), at(tails[1]).alias("__hi"))
+
+
 def kde(
     df: DataFrame,
     value: str,
     keys: Sequence[str] = (),
     points: int = 256,
     tails: tuple[float, float] = (0.001, 0.999),
-    accuracy: int = 100_000,
 ) -> DataFrame:
     """Gaussian kernel density on an even grid between two quantiles, per key.
 
@@ -43,11 +53,9 @@ def kde(
     stats = data.groupBy(*keys).agg(
         F.count("*").alias("__n"),
         F.stddev("v").alias("__sd"),
-        F.percentile_approx("v", list(tails), accuracy).alias("__q"),
     )
-    stats = stats.select(
-        *keys, "__n", _silverman(F.col("__n"), F.col("__sd")).alias("__h"),
-        F.col("__q")[0].alias("__lo"), F.col("__q")[1].alias("__hi"),
+    stats = _with_stats(stats, _ends(data, tails, keys), keys).select(
+        *keys, "__n", _silverman(F.col("__n"), F.col("__sd")).alias("__h"), "__lo", "__hi"
     )
     weighted = data.groupBy(*keys, "v").agg(F.count("*").alias("__w"))
     step = (F.col("__hi") - F.col("__lo")) / (points - 1)
@@ -106,23 +114,27 @@ def kde_2d(
     return _with_stats(mass, stats, keys).select(*keys, "i", "j", density.alias("density"))
 
 
+def _bin_number(width: Column, bins: int) -> Column:
+    number = F.floor(F.try_divide(F.col("v") - F.col("__lo"), width))
+    return F.least(F.coalesce(number, F.lit(0).cast("long")), F.lit(bins - 1).cast("long"))
+
+
 def histogram(
     df: DataFrame,
     value: str,
     bins: int = 200,
     tails: tuple[float, float] = (0.001, 0.999),
-    accuracy: int = 100_000,
 ) -> DataFrame:
     """Counts and density in equal bins between two quantiles, empty bins included.
 
     The last bin is closed; values outside are dropped, as in a fixed-edge histogram.
+    Without spread all values are in bin 0 and the density is NULL.
     """
     data = df.select(F.col(value).cast("double").alias("v")).filter("v is not null")
-    ends = data.agg(F.percentile_approx("v", list(tails), accuracy).alias("q"))
-    ends = ends.select(F.col("q")[0].alias("__lo"), F.col("q")[1].alias("__hi"))
+    ends = _ends(data, tails)
     width = (F.col("__hi") - F.col("__lo")) / bins
     inside = _with_stats(data, ends, ()).filter("v between __lo and __hi")
-    number = F.least(F.floor((F.col("v") - F.col("__lo")) / width), F.lit(bins - 1).cast("long"))
+    number = _bin_number(width, bins)
     counts = inside.groupBy(number.alias("bin")).agg(F.count("*").alias("n"))
     every = df.sparkSession.range(bins).select(F.col("id").alias("bin"))
     filled = every.join(counts, "bin", "left").select("bin", F.coalesce("n", F.lit(0)).alias("n"))
@@ -132,7 +144,7 @@ def histogram(
         "bin",
         (F.col("__lo") + width * (F.col("bin") + 0.5)).alias("center"),
         "n",
-        (F.col("n") / (total * width)).alias("density"),
+        F.try_divide(F.col("n"), total * width).alias("density"),
     )
 
 
@@ -157,26 +169,23 @@ def class_histogram(df: DataFrame, value: str, key: str, bins: int = 40) -> Data
     data = df.select(key, F.col(value).cast("double").alias("v")).filter("v is not null")
     ends = data.agg(F.min("v").alias("__lo"), F.max("v").alias("__hi"), F.count("*").alias("__n"))
     width = (F.col("__hi") - F.col("__lo")) / bins
-    number = F.least(F.floor((F.col("v") - F.col("__lo")) / width), F.lit(bins - 1).cast("long"))
+    number = _bin_number(width, bins)
     counted = _with_stats(data, ends, ()).groupBy(key, number.alias("bin")).agg(
         F.count("*").alias("n"), F.first("__n").alias("__n"), F.first(width).alias("__w")
     )
-    return counted.select(key, "bin", "n", (F.col("n") / (F.col("__n") * F.col("__w"))).alias("density"))
+    return counted.select(key, "bin", "n", F.try_divide(F.col("n"), F.col("__n") * F.col("__w")).alias("density"))
 
 
-def ecdf(df: DataFrame, value: str, max_group_rows: int = MAX_GROUP_ROWS) -> DataFrame:
+def ecdf(df: DataFrame, value: str) -> DataFrame:
     """Share of rows at or below each distinct value."""
     counts = df.select(F.col(value).alias("value")).filter("value is not null").groupBy("value").agg(F.count("*").alias("n"))
-    upto = running(counts, [], ["value"], sums={"__upto": "n"}, max_group_rows=max_group_rows)
+    upto = running(counts, [], ["value"], sums={"__upto": "n"})
     return upto.select("value", "n", (F.col("__upto") / counts.agg(F.sum("n")).scalar()).alias("ecdf"))
 
 
-def ecdf_grid(df: DataFrame, value: str, steps: int = 1000, accuracy: int = 100_000) -> DataFrame:
-    """Approximate quantiles at 0, 1/steps, ..., 1."""
-    probs = [i / steps for i in range(steps + 1)]
-    grid = F.array(*[F.lit(p) for p in probs])
-    found = df.agg(F.percentile_approx(F.col(value).cast("double"), probs, accuracy).alias("q"))
-    return found.select(F.inline(F.arrays_zip(grid.alias("prob"), F.col("q").alias("quantile"))))
+def ecdf_grid(df: DataFrame, value: str, steps: int = 1000) -> DataFrame:
+    """Exact quantiles at 0, 1/steps, ..., 1."""
+    return quantile_grid(df, value, steps)
 
 
 def _pivot_quantiles(rows: DataFrame, keys: Sequence[str], names: dict[float, str]) -> DataFrame:
@@ -185,14 +194,14 @@ def _pivot_quantiles(rows: DataFrame, keys: Sequence[str], names: dict[float, st
     )
 
 
-def box_stats(df: DataFrame, value: str, key: str, max_group_rows: int = MAX_GROUP_ROWS) -> DataFrame:
+def box_stats(df: DataFrame, value: str, key: str) -> DataFrame:
     """Quartiles, whiskers (furthest values within 1.5 IQR) and outlier count per class."""
     quartiles = _pivot_quantiles(
-        exact_quantiles(df, value, [0.25, 0.5, 0.75], [key], max_group_rows),
+        exact_quantiles(df, value, [0.25, 0.5, 0.75], [key]),
         [key],
         {0.25: "q25", 0.5: "median", 0.75: "q75"},
     )
-    rows = join_null_safe(df.select(key, F.col(value).alias("v")).filter("v is not null"), quartiles, [key])
+    rows = _with_stats(df.select(key, F.col(value).alias("v")).filter("v is not null"), quartiles, [key])
     fence = 1.5 * (F.col("q75") - F.col("q25"))
     inside = (F.col("v") >= F.col("q25") - fence) & (F.col("v") <= F.col("q75") + fence)
     return rows.groupBy(key).agg(
@@ -204,7 +213,7 @@ def box_stats(df: DataFrame, value: str, key: str, max_group_rows: int = MAX_GRO
     )
 
 
-def class_summary(df: DataFrame, value: str, key: str, max_group_rows: int = MAX_GROUP_ROWS) -> DataFrame:
+def class_summary(df: DataFrame, value: str, key: str) -> DataFrame:
     """Per class: n, mean, exact median and quartiles of a value and of its log10."""
     amount = F.col(value)
     data = df.select(key, amount.alias("v"), F.log10(F.when(amount > 0, amount)).alias("lg"))
@@ -213,10 +222,10 @@ def class_summary(df: DataFrame, value: str, key: str, max_group_rows: int = MAX
     )
     quartiles = [0.25, 0.5, 0.75]
     raw = _pivot_quantiles(
-        exact_quantiles(data, "v", quartiles, [key], max_group_rows), [key], {0.25: "q25", 0.5: "median_amount", 0.75: "q75"}
+        exact_quantiles(data, "v", quartiles, [key]), [key], {0.25: "q25", 0.5: "median_amount", 0.75: "q75"}
     )
     logs = _pivot_quantiles(
-        exact_quantiles(data, "lg", quartiles, [key], max_group_rows), [key], {0.25: "log_q25", 0.5: "log_q50", 0.75: "log_q75"}
+        exact_quantiles(data, "lg", quartiles, [key]), [key], {0.25: "log_q25", 0.5: "log_q50", 0.75: "log_q75"}
     )
     return join_null_safe(join_null_safe(means, raw, [key], "left"), logs, [key], "left")
 

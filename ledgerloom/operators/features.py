@@ -7,9 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.functions.text import snake_name
+from ledgerloom.functions.binning import dummies
 from ledgerloom.operators.ordered import exact_quantiles, join_null_safe, running
-from ledgerloom.runtime import MAX_GROUP_ROWS
 
 
 def family_features(df: DataFrame, siblings: str, parents: str, fare: str) -> DataFrame:
@@ -36,36 +35,26 @@ def standard_scale(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.withColumns(scaled)
 
 
-def robust_scale(
-    df: DataFrame,
-    column: str,
-    lower: float = 0.25,
-    upper: float = 0.75,
-    max_group_rows: int = MAX_GROUP_ROWS,
-) -> DataFrame:
+def robust_scale(df: DataFrame, column: str, lower: float = 0.25, upper: float = 0.75) -> DataFrame:
     """(x - median) / (upper quantile - lower quantile), quantiles exact."""
-    rows = exact_quantiles(df, column, [lower, 0.5, upper], (), max_group_rows)
+    rows = exact_quantiles(df, column, [lower, 0.5, upper])
     at = lambda p: F.max(F.when(F.col("prob") == p, F.col("quantile")))
     stats = rows.agg(F.struct(at(lower).alias("lo"), at(0.5).alias("mid"), at(upper).alias("hi")).alias("s")).scalar()
     spread = stats["hi"] - stats["lo"]
     return df.withColumn(column, (F.col(column) - stats["mid"]) / F.when(spread > 0, spread).otherwise(1.0))
 
 
-def categories(df: DataFrame, column: str, most: int = 1000) -> list:
-    """Sorted distinct values for use as column names; refuses more than `most`."""
-    found = df.select(column).filter(F.col(column).isNotNull()).distinct().limit(most + 1).collect()
-    if len(found) > most:
-        raise ValueError(f"{column} has more than {most} categories; hash or target-encode it")
-    return sorted(row[0] for row in found)
+def categories(df: DataFrame, column: str) -> DataFrame:
+    """The distinct values of a column and their rows, as a table of any length."""
+    return df.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count("*").alias("n"))
 
 
-def one_hot(df: DataFrame, column: str, values: Sequence | None = None, drop_first: bool = True) -> DataFrame:
-    """0/1 columns per category. Values not listed at fit time give all zeros."""
-    kept = list(values if values is not None else categories(df, column))[1 if drop_first else 0 :]
-    made = {
-        f"{column}_{snake_name(str(v))}": F.coalesce((F.col(column) == F.lit(v)).cast("int"), F.lit(0)) for v in kept
-    }
-    return df.withColumns(made)
+def one_hot(df: DataFrame, column: str, values: Sequence, drop_first: bool = True) -> DataFrame:
+    """0/1 columns for the listed categories; other values give all zeros.
+
+    Categories whose names come out alike get the suffix _2, _3, ...
+    """
+    return df.withColumns(dummies(F.col(column), values, column, int(drop_first)))
 
 
 def target_encode(df: DataFrame, column: str, label: str, smoothing: float = 1.0, output: str | None = None) -> DataFrame:
@@ -78,10 +67,10 @@ def target_encode(df: DataFrame, column: str, label: str, smoothing: float = 1.0
     return join_null_safe(df, table, [column])
 
 
-def ordinal_encode(df: DataFrame, column: str, unknown: int = -1, max_group_rows: int = MAX_GROUP_ROWS) -> DataFrame:
+def ordinal_encode(df: DataFrame, column: str, unknown: int = -1) -> DataFrame:
     """Rank of the category in sorted order from 0; NULL becomes `unknown`."""
     values = df.select(column).filter(F.col(column).isNotNull()).distinct()
-    coded = running(values, [], [column], rank="__rank", max_group_rows=max_group_rows)
+    coded = running(values, [], [column], rank="__rank")
     table = coded.select(column, (F.col("__rank") - 1).alias(f"{column}_ord"))
     return df.join(table, column, "left").withColumn(f"{column}_ord", F.coalesce(f"{column}_ord", F.lit(unknown).cast("long")))
 
@@ -94,9 +83,9 @@ def uniform_bins(df: DataFrame, column: str, bins: int) -> DataFrame:
     return df.withColumn(f"{column}_bin", F.least(number, F.lit(bins - 1).cast("long")))
 
 
-def quantile_bins(df: DataFrame, column: str, bins: int, max_group_rows: int = MAX_GROUP_ROWS) -> DataFrame:
+def quantile_bins(df: DataFrame, column: str, bins: int) -> DataFrame:
     """Bin number between exact quantiles; bins are left-closed and the last one is closed."""
-    rows = exact_quantiles(df, column, [i / bins for i in range(bins + 1)], (), max_group_rows)
+    rows = exact_quantiles(df, column, [i / bins for i in range(bins + 1)])
     # edges that coincide, or lie on either end, would make bins without width
     ends = F.array(F.min("quantile"), F.max("quantile"))
     edges = rows.agg(F.sort_array(F.array_except(F.collect_set("quantile"), ends))).scalar()

@@ -116,13 +116,8 @@ def monthly_close_map(closes: DataFrame) -> DataFrame:
     return closes.groupBy("account_number").agg(packed.alias("mclose_map"))
 
 
-def monthly_close_wide(closes: DataFrame, names: list[str] | None = None, max_columns: int = 5000) -> DataFrame:
-    """One column per month and currency. The names are read from the data if not given."""
-    if names is None:
-        found = closes.select("prop_name").distinct().limit(max_columns + 1).collect()
-        if len(found) > max_columns:
-            raise ValueError(f"more than {max_columns} monthly columns; use the map form")
-        names = sorted(row[0] for row in found)
+def monthly_close_wide(closes: DataFrame, names: list[str]) -> DataFrame:
+    """One column for each listed month and currency; the map form has them all."""
     return closes.groupBy("account_number").pivot("prop_name", names).agg(F.first("balance_close"))
 
 

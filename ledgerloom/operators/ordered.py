@@ -1,10 +1,10 @@
 """Running totals, ranks and exact quantiles that stay whole under key skew.
 
-A window over one key is sorted and scanned by one task. That is the best plan
-while every key is small, so the largest group is measured first; when it is
-larger than `max_group_rows` the rows are range-partitioned on (key, order),
-summed inside each range chunk, and shifted by the totals of the chunks before.
-Both ways give the same rows.
+The order is cut by value: a timestamp by its hour, a number into `CUTS` ranges
+between its extremes, a text by its first two characters. A window runs inside
+each (key, cut), and the totals of the earlier cuts of a key, one row each, are
+added. So the rows of a hot key are dealt over its cuts, whatever their number,
+and the same rows give the same doubles however they are partitioned.
 """
 
 from __future__ import annotations
@@ -13,16 +13,36 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-
-from ledgerloom.runtime import MAX_GROUP_ROWS, stage
-
-_CHUNK = "__chunk"
-
-
-def largest_group(df: DataFrame, keys: Sequence[str]) -> int:
-    """Rows of the most frequent key (all rows when `keys` is empty)."""
-    counts = df.groupBy(*keys).count()
-    return counts.agg(F.max("count")).first()[0] or 0
+from pyspark.sql import types as T
+
+CUTS = 4096
+_FEW = (T.BooleanType, T.ByteType)
+
+
+def _cut(df: DataFrame, column: str) -> Column:
+    """A value that never falls while the column rises."""
+    kind = df.schema[column].dataType
+    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+        return F.date_trunc("hour", column)
+    if isinstance(kind, T.NumericType) and not isinstance(kind, T.ByteType):
+        number = F.col(column).cast("double")
+        # the extremes are a subquery of the plan, not a job of their own
+        ends = df.agg(F.struct(F.min(number).alias("lo"), F.max(number).alias("hi")).alias("ends")).scalar()
+        width = (ends["hi"] - ends["lo"]) / CUTS
+        return F.when(number.isNotNull(), F.coalesce(F.floor(F.try_divide(number - ends["lo"], width)), F.lit(0)))
+    if isinstance(kind, T.StringType):
+        return F.substring(column, 1, 2)
+    return F.col(column)
+
+
+def cuts(df: DataFrame, order: Sequence[str]) -> dict[str, Column]:
+    """Cuts of the leading order columns; one with few values stands whole and lets the next be cut too."""
+    found: dict[str, Column] = {}
+    for position, column in enumerate(order):
+        found[f"__cut{position}"] = _cut(df, column)
+        if not isinstance(df.schema[column].dataType, _FEW):
+            break
+    return found
 
 
 def running(
@@ -31,7 +51,6 @@ def running(
     order: Sequence[str],
     sums: Mapping[str, str] | None = None,
     rank: str | None = None,
-    max_group_rows: int = MAX_GROUP_ROWS,
 ) -> DataFrame:
     """Add running sums and/or a 1-based rank per key, in ascending `order`.
 
@@ -39,50 +58,35 @@ def running(
     unique inside a key for the result to be determined.
     """
     sums = dict(sums or {})
-    if largest_group(df, keys) > max_group_rows:
-        return _running_chunked(df, list(keys), list(order), sums, rank)
-    by_order = Window.partitionBy(*keys).orderBy(*order)
-    return df.withColumns(_running_columns(by_order, sums, rank))
-
-
-def _running_columns(by_order, sums: Mapping[str, str], rank: str | None) -> dict[str, Column]:
-    so_far = by_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    columns = {name: F.sum(source).over(so_far) for name, source in sums.items()}
-    if rank:
-        columns[rank] = F.row_number().over(by_order).cast("long")
-    return columns
-
-
-def _running_chunked(df, keys, order, sums, rank) -> DataFrame:
-    chunked = stage(
-        df.repartitionByRange(*keys, *order).withColumn(_CHUNK, F.spark_partition_id()),
-        "range-chunks",
-    )
-    local = chunked.withColumns(
-        _running_columns(Window.partitionBy(*keys, _CHUNK).orderBy(*order), sums, rank)
+    parts = cuts(df, order)
+    names = list(parts)
+    inside = Window.partitionBy(*keys, *names).orderBy(*order)
+    so_far = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    local = df.withColumns(parts).withColumns(
+        {"__nth": F.row_number().over(inside).cast("long")}
+        | {f"__in_{name}": F.sum(source).over(so_far) for name, source in sums.items()}
     )
-    names = list(sums) + ([rank] if rank else [])
-    totals = chunked.groupBy(*keys, _CHUNK).agg(
-        *[F.sum(source).alias(f"__t_{name}") for name, source in sums.items()],
-        *([F.count("*").alias(f"__t_{rank}")] if rank else []),
-    )
-    # one row per (key, chunk): never more rows per key than there are chunks
-    earlier = (
-        Window.partitionBy(*keys)
-        .orderBy(_CHUNK)
-        .rowsBetween(Window.unboundedPreceding, -1)
+    # the last row of a cut has its totals, summed in the order of the rows
+    totals = local.groupBy(*keys, *names).agg(
+        F.max("__nth").alias("__t_rank"), *[F.max_by(f"__in_{name}", "__nth").alias(f"__t_{name}") for name in sums]
     )
+    earlier = Window.partitionBy(*keys).orderBy(*names).rowsBetween(Window.unboundedPreceding, -1)
     carry = totals.select(
-        *keys, _CHUNK, *[F.sum(f"__t_{name}").over(earlier).alias(f"__c_{name}") for name in names]
+        *keys,
+        *names,
+        F.sum("__t_rank").over(earlier).alias("__c_rank"),
+        *[F.sum(f"__t_{name}").over(earlier).alias(f"__c_{name}") for name in sums],
     )
+    own = lambda name: F.col(f"__in_{name}")
+    before = lambda name: F.col(f"__c_{name}")
     shifted = {
-        name: F.when(F.col(f"__c_{name}").isNull(), F.col(name)).otherwise(
-            F.coalesce(F.col(name), F.lit(0)) + F.col(f"__c_{name}")
-        )
-        for name in names
+        name: F.when(before(name).isNull(), own(name)).when(own(name).isNull(), before(name)).otherwise(before(name) + own(name))
+        for name in sums
     }
-    joined = join_null_safe(local, carry, [*keys, _CHUNK], "left")
-    return joined.withColumns(shifted).select(*df.columns, *names)
+    if rank:
+        shifted[rank] = F.coalesce("__c_rank", F.lit(0)) + F.col("__nth")
+    joined = join_null_safe(local, carry, [*keys, *names], "left")
+    return joined.withColumns(shifted).select(*df.columns, *sums, *([rank] if rank else []))
 
 
 def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
@@ -94,38 +98,46 @@ def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how:
     return left.join(renamed, same, how).drop(*[f"__r_{key}" for key in keys])
 
 
+def by_key(table: DataFrame, key: str, value: str) -> Column:
+    """The value of `table` for the key of a row, NULL for NULL, looked up in place.
+
+    The table travels as one map inside the plan, so it suits keys with few
+    values: the rows themselves are not shuffled on them.
+    """
+    pair = F.struct(F.struct(F.col(key).alias("k")), F.col(value))
+    return F.try_element_at(table.agg(F.map_from_entries(F.collect_list(pair))).scalar(), F.struct(F.col(key).alias("k")))
+
+
+def counted(df: DataFrame, value: str, keys: Sequence[str] = ()) -> DataFrame:
+    """keys, __v, __n, __upto, __all: distinct values as doubles, their rows, rows up to them, rows of the key."""
+    data = df.select(*keys, F.col(value).cast("double").alias("__v")).filter("__v is not null")
+    counts = data.groupBy(*keys, "__v").agg(F.count("*").alias("__n"))
+    ranked = running(counts, keys, ["__v"], sums={"__upto": "__n"})
+    if keys:
+        totals = counts.groupBy(*keys).agg(F.sum("__n").alias("__all")).select(F.struct(*keys).alias("__k"), "__all")
+        return ranked.withColumn("__k", F.struct(*keys)).withColumn("__all", by_key(totals, "__k", "__all")).drop("__k")
+    return ranked.withColumn("__all", counts.agg(F.sum("__n")).scalar())
+
+
 def exact_quantiles(
-    df: DataFrame,
-    value: str,
-    probs: Sequence[float],
-    keys: Sequence[str] = (),
-    max_group_rows: int = MAX_GROUP_ROWS,
+    df: DataFrame, value: str, probs: Sequence[float], keys: Sequence[str] = (), discrete: bool = False
 ) -> DataFrame:
-    """Interpolated quantiles per key as rows (keys, prob, quantile)."""
-    data = df.select(*keys, F.col(value).cast("double").alias("__v")).filter("__v is not null")
+    """Quantiles per key as rows (keys, prob, quantile), interpolated or (`discrete`) a value that occurs."""
+    rows = counted(df, value, keys)
+    first, last, size = F.col("__upto") - F.col("__n"), F.col("__upto"), F.col("__all")
     grid = F.array(*[F.lit(float(p)) for p in probs])
-    if largest_group(data, keys) <= max_group_rows:
-        wide = data.groupBy(*keys).agg(
-            F.expr(f"percentile(__v, array({', '.join(repr(float(p)) for p in probs)}))").alias("__q")
-        )
-        return wide.select(
-            *keys, F.explode(F.arrays_zip(grid.alias("prob"), F.col("__q").alias("quantile"))).alias("z")
-        ).select(*keys, F.col("z.prob").alias("prob"), F.col("z.quantile").alias("quantile"))
 
-    counts = data.groupBy(*keys, "__v").agg(F.count("*").alias("__n"))
-    ranked = running(counts, keys, ["__v"], sums={"__upto": "__n"}, max_group_rows=max_group_rows)
-    if keys:
-        totals = counts.groupBy(*keys).agg(F.sum("__n").alias("__all"))
-        ranked = join_null_safe(ranked, totals, keys)
-    else:
-        ranked = ranked.withColumn("__all", counts.agg(F.sum("__n")).scalar())
-    spot = F.col("prob") * (F.col("__all") - 1)
-    covers = lambda rank: (rank >= F.col("__upto") - F.col("__n")) & (rank < F.col("__upto"))
-    low, high = F.floor(spot), F.ceil(spot)
+    def covers(rank: Column) -> Column:
+        return (rank >= first) & (rank < last)
+
+    def spot(prob: Column) -> Column:
+        return F.greatest(F.ceil(prob * size) - 1, F.lit(0)).cast("double") if discrete else prob * (size - 1)
+
+    touched = F.filter(grid, lambda p: covers(F.floor(spot(p))) | covers(F.ceil(spot(p))))
+    at = spot(F.col("prob"))
     return (
-        ranked.withColumn("prob", F.explode(grid))
-        .filter(covers(low) | covers(high))
-        .groupBy(*keys, "prob", spot.alias("__spot"))
+        rows.withColumn("prob", F.explode(touched))
+        .groupBy(*keys, "prob", at.alias("__spot"))
         .agg(F.min("__v").alias("__lo"), F.max("__v").alias("__hi"))
         .select(
             *keys,
@@ -133,3 +145,16 @@ def exact_quantiles(
             (F.col("__lo") + (F.col("__hi") - F.col("__lo")) * (F.col("__spot") - F.floor("__spot"))).alias("quantile"),
         )
     )
+
+
+def quantile_grid(df: DataFrame, value: str, steps: int) -> DataFrame:
+    """prob, quantile at 0, 1/steps, .., 1: values that occur. A row meets only the probabilities it covers."""
+    rows = counted(df, value)
+    low = F.floor(steps * (F.col("__upto") - F.col("__n")) / F.col("__all"))
+    high = F.ceil(steps * F.col("__upto") / F.col("__all"))
+    near = F.sequence(F.greatest(low - 1, F.lit(0)), F.least(high + 1, F.lit(steps)))
+    probs = rows.withColumn("step", F.explode(near)).withColumn("prob", F.col("step") / F.lit(float(steps)))
+    rank = F.greatest(F.ceil(F.col("prob") * F.col("__all")) - 1, F.lit(0))
+    return probs.filter((rank >= F.col("__upto") - F.col("__n")) & (rank < F.col("__upto"))).select(
+        "prob", F.col("__v").alias("quantile")
+    )

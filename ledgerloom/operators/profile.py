@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgerloom.operators.ordered import exact_quantiles
+
 # Assumed bytes per value of each fixed-width type, bytes of
 # overhead per row, and bytes for a type that is not listed.
 FIXED_WIDTHS = {
@@ -139,9 +141,9 @@ def missing_accounts(df: DataFrame, sender: str, receiver: str, accounts: DataFr
     return active_accounts(df, sender, receiver).join(accounts, "account", "left_anti")
 
 
-def describe_numeric(df: DataFrame, columns: Sequence[str], accuracy: int = 10_000) -> DataFrame:
-    """count, mean, stddev, min, quartiles and max per column, in long form."""
-    quartiles = lambda name: F.percentile_approx(F.col(name).cast("double"), [0.25, 0.5, 0.75], accuracy)
+def describe_numeric(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """count, mean, stddev, min, exact quartiles and max per numeric column (all by default), in long form."""
+    names = list(columns or [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)])
     cells = [
         F.struct(
             F.lit(name).alias("column"),
@@ -149,15 +151,17 @@ def describe_numeric(df: DataFrame, columns: Sequence[str], accuracy: int = 10_0
             F.avg(name).alias("mean"),
             F.stddev(name).alias("stddev"),
             F.min(name).cast("double").alias("min"),
-            quartiles(name).alias("q"),
             F.max(name).cast("double").alias("max"),
         )
-        for name in columns
+        for name in names
     ]
     rows = df.agg(F.array(*cells).alias("cells")).select(F.inline("cells"))
-    return rows.select(
-        "column", "count", "mean", "stddev", "min",
-        F.col("q")[0].alias("q25"), F.col("q")[1].alias("q50"), F.col("q")[2].alias("q75"), "max",
+    values = [F.struct(F.lit(name).alias("column"), F.col(name).cast("double").alias("value")) for name in names]
+    found = exact_quantiles(df.select(F.inline(F.array(*values))), "value", [0.25, 0.5, 0.75], ["column"], discrete=True)
+    at = lambda p: F.max(F.when(F.col("prob") == p, F.col("quantile")))
+    quartiles = found.groupBy("column").agg(at(0.25).alias("q25"), at(0.5).alias("q50"), at(0.75).alias("q75"))
+    return rows.join(quartiles, "column", "left").select(
+        "column", "count", "mean", "stddev", "min", "q25", "q50", "q75", "max"
     )
 
 
@@ -172,14 +176,14 @@ def describe_object(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     )
 
 
-def amount_quantiles(df: DataFrame, column: str, probs: Sequence[float], accuracy: int = 100_000) -> DataFrame:
-    """Approximate quantiles of a column and of its base-10 logarithm."""
+def amount_quantiles(df: DataFrame, column: str, probs: Sequence[float]) -> DataFrame:
+    """Exact quantiles of a column and of the base-10 logarithm of its positive values."""
     value = F.col(column).cast("double")
-    sketch = lambda x: F.percentile_approx(x, [float(p) for p in probs], accuracy)
-    arrays = df.agg(sketch(value).alias("v"), sketch(F.log10(F.when(value > 0, value))).alias("l"))
-    grid = F.array(*[F.lit(float(p)) for p in probs])
-    zipped = F.arrays_zip(grid.alias("prob"), F.col("v").alias("amount"), F.col("l").alias("log_amount"))
-    return arrays.select(F.inline(zipped))
+    logs = df.select(F.log10(F.when(value > 0, value)).alias("log_amount"))
+    raw = exact_quantiles(df, column, probs, discrete=True).withColumnRenamed("quantile", "amount")
+    return raw.join(
+        exact_quantiles(logs, "log_amount", probs, discrete=True).withColumnRenamed("quantile", "log_amount"), "prob", "left"
+    )
 
 
 def size_profile(df: DataFrame, target_bucket_mb: int = 128) -> DataFrame:

@@ -6,8 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.hashing import bernoulli, scramble, uniform
-from ledgerloom.operators.ordered import join_null_safe, running
-from ledgerloom.runtime import MAX_GROUP_ROWS
+from ledgerloom.operators.ordered import by_key, running
 
 
 def bernoulli_sample(df: DataFrame, fraction: float, seed: int = 42) -> DataFrame:
@@ -22,8 +21,8 @@ def hash_sample(df: DataFrame, id_column: str, fraction: float) -> DataFrame:
 def stratified_sample(df: DataFrame, id_column: str, stratum: str, target: int) -> DataFrame:
     """About `target` rows of every stratum; smaller strata are kept whole."""
     fractions = df.groupBy(stratum).agg((F.lit(float(target)) / F.count("*")).alias("__fraction"))
-    marked = join_null_safe(df, fractions, [stratum])
-    return marked.filter(uniform(id_column) < F.least(F.lit(1.0), F.col("__fraction"))).select(*df.columns)
+    kept = uniform(id_column) < F.least(F.lit(1.0), by_key(fractions, stratum, "__fraction"))
+    return df.filter(kept)
 
 
 def seed_sample(df: DataFrame, id_column: str, k: int) -> DataFrame:
@@ -31,10 +30,8 @@ def seed_sample(df: DataFrame, id_column: str, k: int) -> DataFrame:
     return df.select(id_column).orderBy(scramble(id_column), id_column).limit(k)
 
 
-def stratified_folds(
-    df: DataFrame, id_column: str, stratum: str, folds: int, max_group_rows: int = MAX_GROUP_ROWS
-) -> DataFrame:
+def stratified_folds(df: DataFrame, id_column: str, stratum: str, folds: int) -> DataFrame:
     """Balanced folds: inside each stratum the scrambled rank modulo `folds`."""
     mixed = df.withColumn("__mix", scramble(id_column))
-    ranked = running(mixed, [stratum], ["__mix", id_column], rank="__rank", max_group_rows=max_group_rows)
+    ranked = running(mixed, [stratum], ["__mix", id_column], rank="__rank")
     return ranked.select(*df.columns, F.pmod(F.col("__rank") - 1, F.lit(folds)).cast("int").alias("fold"))

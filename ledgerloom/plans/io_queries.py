@@ -16,7 +16,6 @@ from ledgerloom.plans.ledger_queries import transfers
 from ledgerloom.plans.registry import query
 from ledgerloom.runtime import fresh_path
 from ledgerloom.sinks import buckets, files, merge
-from ledgerloom.sources import jdbc
 from ledgerloom.sources.files import load_csv, load_transfers, stored_bytes
 from ledgerloom.sources.tables import Tables
 
@@ -200,16 +199,6 @@ def _surrogate_key(spark, folder):
     return files.with_surrogate_key(Tables(spark, folder).orders.select("o_orderkey", "o_orderdate"), ["o_orderdate", "o_orderkey"])
 
 
-@query(
-    "key_range_skew",
-    """WITH b AS (SELECT 1 AS lo, 2000 AS hi, 16 AS parts), w AS (SELECT *, greatest(1, hi // parts - lo // parts) AS width FROM b)
-       SELECT CAST(least(parts - 1, greatest(0, floor((o_orderkey - lo) / CAST(width AS DOUBLE)))) AS INTEGER) AS stride, count(*) AS n
-       FROM orders, w GROUP BY 1""",
-)
-def _key_range_skew(spark, folder):
-    return jdbc.stride_counts(Tables(spark, folder).orders, "o_orderkey", (1, 2000), 16)
-
-
 @query("size_probe")
 def _size_probe(spark, folder):
     """Bytes per row on disk, from a stored one percent sample."""

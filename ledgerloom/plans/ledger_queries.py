@@ -101,9 +101,8 @@ def _movement_seq(spark, folder):
 
 @query("movement_currency", with_movements("SELECT account, txn_id, direction, currency FROM m"))
 def _movement_currency(spark, folder):
-    raw = Tables(spark, folder).raw_transfers()
-    stored = ledger.movements(ledger.transfers(raw).drop("payment_currency", "received_currency"))
-    return ledger.attach_currency(stored, ledger.transfers(raw)).select("account", "txn_id", "direction", "currency")
+    moved = ledger.movements(ledger.transfers(Tables(spark, folder).raw_transfers()))
+    return moved.select("account", "txn_id", "direction", "currency")
 
 
 def _side_sql(side: str, sign: str) -> str:
@@ -219,8 +218,10 @@ def _monthly_close_map(spark, folder):
     ),
 )
 def _monthly_close_wide(spark, folder):
-    wide = graph.monthly_close_wide(graph.monthly_close(statements(spark, folder, currencies=True)))
-    closes = [name for name in wide.columns if name.startswith("mclose_")]
+    long = graph.monthly_close(statements(spark, folder, currencies=True))
+    # one name for each month and currency of the data
+    closes = sorted(row[0] for row in long.select("prop_name").distinct().collect())
+    wide = graph.monthly_close_wide(long, closes)
     pick = lambda name: F.col(f"`{name}`") if name in closes else F.lit(None).cast("double")
     filled = F.size(F.array_compact(F.array(*[F.col(f"`{name}`") for name in closes])))
     shown = wide.select(

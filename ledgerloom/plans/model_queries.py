@@ -19,6 +19,7 @@ from ledgerloom.sources.tables import Tables
 
 NUMERIC = ["n_lines", "quantity", "discount", "tax"]
 CATEGORICAL = ["status", "priority", "segment"]
+SEGMENTS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
 
 
 def frame(spark, folder):
@@ -82,7 +83,7 @@ def _robust_scale(spark, folder):
     + " FROM customer",
 )
 def _one_hot(spark, folder):
-    return features.one_hot(Tables(spark, folder).customer.select("c_custkey", "c_mktsegment"), "c_mktsegment")
+    return features.one_hot(Tables(spark, folder).customer.select("c_custkey", "c_mktsegment"), "c_mktsegment", SEGMENTS)
 
 
 @query(

@@ -88,7 +88,7 @@ def _validity_checks(spark, folder):
 
 _HOLED = """SELECT event_id, CASE WHEN event_id % 7 = 0 THEN NULL WHEN event_id % 5 = 0 THEN ' ' ELSE event_type END AS event_type,
   CASE WHEN event_id % 11 = 0 THEN NULL WHEN event_id % 13 = 0 THEN CAST('NaN' AS DOUBLE)
-       WHEN event_id % 17 = 0 THEN CAST('Infinity' AS DOUBLE) ELSE value END AS value, ts FROM events"""
+       WHEN event_id % 17 = 0 THEN CAST('Infinity' AS DOUBLE) ELSE value END AS value, ts, user_id, props FROM events"""
 
 
 def _holed(spark, folder):
@@ -103,6 +103,8 @@ def _holed(spark, folder):
         .otherwise(F.col("value"))
         .alias("value"),
         "ts",
+        "user_id",
+        "props",
     )
 
 
@@ -115,7 +117,9 @@ def _holed(spark, folder):
           UNION ALL SELECT 'event_type', 'string', count(*) FILTER (event_type IS NULL OR trim(event_type) = ''), 0, count(*) FROM h
           UNION ALL SELECT 'value', 'double', count(*) FILTER (value IS NULL OR isnan(value)),
                            count(*) FILTER (isinf(value)), count(*) FROM h
-          UNION ALL SELECT 'ts', 'timestamp_ntz', count(*) FILTER (ts IS NULL), 0, count(*) FROM h)""",
+          UNION ALL SELECT 'ts', 'timestamp_ntz', count(*) FILTER (ts IS NULL), 0, count(*) FROM h
+          UNION ALL SELECT 'user_id', 'bigint', count(*) FILTER (user_id IS NULL), 0, count(*) FROM h
+          UNION ALL SELECT 'props', 'string', count(*) FILTER (props IS NULL OR trim(props) = ''), 0, count(*) FROM h)""",
 )
 def _null_summary(spark, folder):
     return rounded(profile.null_summary(_holed(spark, folder)), 6, "pct_missing")
@@ -124,11 +128,10 @@ def _null_summary(spark, folder):
 @query(
     "duplicate_rows",
     """SELECT CAST(sum(c) AS BIGINT) AS n_rows, CAST(sum(c - 1) AS BIGINT) AS n_duplicates FROM (
-         SELECT l_orderkey, l_linenumber, l_returnflag, count(*) AS c FROM lineitem GROUP BY 1, 2, 3)""",
+         SELECT *, count(*) AS c FROM lineitem GROUP BY ALL)""",
 )
 def _duplicate_rows(spark, folder):
-    lines = Tables(spark, folder).lineitem.select("l_orderkey", "l_linenumber", "l_returnflag")
-    return profile.duplicate_rows(lines)
+    return profile.duplicate_rows(Tables(spark, folder).lineitem)
 
 
 @query(
@@ -160,20 +163,20 @@ def _missing_accounts(spark, folder):
     )
 
 
-_NUMERIC = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+_NUMERIC = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 
 
 @query(
     "describe_numeric",
     " UNION ALL ".join(
         f"""SELECT '{c}' AS "column", count({c}) AS count, round(avg({c}), 6) AS mean, round(stddev_samp({c}), 6) AS stddev,
-            min({c}) AS min, quantile_disc({c}, 0.25) AS q25, quantile_disc({c}, 0.5) AS q50, quantile_disc({c}, 0.75) AS q75,
-            max({c}) AS max FROM lineitem"""
+            CAST(min({c}) AS DOUBLE) AS min, CAST(quantile_disc({c}, 0.25) AS DOUBLE) AS q25, CAST(quantile_disc({c}, 0.5) AS DOUBLE) AS q50,
+            CAST(quantile_disc({c}, 0.75) AS DOUBLE) AS q75, CAST(max({c}) AS DOUBLE) AS max FROM lineitem"""
         for c in _NUMERIC
     ),
 )
 def _describe_numeric(spark, folder):
-    return rounded(profile.describe_numeric(Tables(spark, folder).lineitem, _NUMERIC, 200_000), 6, "mean", "stddev")
+    return rounded(profile.describe_numeric(Tables(spark, folder).lineitem), 6, "mean", "stddev")
 
 
 @query(

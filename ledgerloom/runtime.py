@@ -8,10 +8,6 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Rows of one key that a single window or percentile task may hold. Larger
-# groups take the range-chunked way in operators.ordered.
-MAX_GROUP_ROWS = 2_000_000
-
 
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can read, named by spark.checkpoint.dir."""

@@ -65,8 +65,8 @@ def with_surrogate_key(df: DataFrame, order: Sequence[str], name: str = "id", ex
     the largest one.
     """
     if existing is None:
-        return running(df, [], order, rank=name, max_group_rows=0)
+        return running(df, [], order, rank=name)
     missing = F.col(existing).isNull()
-    ranked = running(df.withColumn("__has", ~missing), [], ["__has", *order], rank="__rank", max_group_rows=0)
+    ranked = running(df.withColumn("__has", ~missing), [], ["__has", *order], rank="__rank")
     top = df.agg(F.coalesce(F.max(existing), F.lit(0))).scalar()
     return ranked.withColumn(existing, F.coalesce(F.col(existing), top + F.col("__rank"))).select(*df.columns)

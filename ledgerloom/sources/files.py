@@ -10,23 +10,23 @@ from pyspark.sql.types import StructType
 
 from ledgerloom.functions.text import normalize_columns
 
-# Fixed value: longest accepted field of a delimited file.
-MAX_FIELD_CHARS = 1_000_000
-
 
 def load_csv(
     spark: SparkSession,
     path: str,
     schema: StructType | str | None = None,
     partitions: int | None = None,
+    max_field_chars: int | None = None,
 ) -> DataFrame:
     """Headed CSV with doubled quotes, empty fields as NULL and snake_case columns.
 
     Pass a schema where it is known: without one the file is read twice.
     """
     reader = spark.read.options(
-        header=True, quote='"', escape='"', nullValue="", mode="PERMISSIVE", maxCharsPerColumn=MAX_FIELD_CHARS
+        header=True, quote='"', escape='"', nullValue="", mode="PERMISSIVE"
     )
+    if max_field_chars is not None:
+        reader = reader.option("maxCharsPerColumn", max_field_chars)
     reader = reader.schema(schema) if schema is not None else reader.option("inferSchema", True)
     df = normalize_columns(reader.csv(path))
     return df.repartition(partitions) if partitions else df

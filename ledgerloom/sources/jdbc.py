@@ -70,13 +70,3 @@ def key_bounds(df: DataFrame, key: str) -> tuple[int, int]:
     if row[0] is None:
         raise ValueError(f"no value of {key} to take bounds from")
     return row[0], row[1]
-
-
-def stride_counts(df: DataFrame, key: str, bounds: tuple[int, int], partitions: int) -> DataFrame:
-    """Rows each stride of a partitioned read would fetch. Keys outside the bounds
-    fall to the first or last stride, which is how fixed bounds cause skew.
-    """
-    low, high = bounds
-    width = max(1, high // partitions - low // partitions)
-    stride = F.least(F.lit(partitions - 1), F.greatest(F.lit(0), F.floor((F.col(key) - low) / width)))
-    return df.groupBy(stride.cast("int").alias("stride")).agg(F.count("*").alias("n"))

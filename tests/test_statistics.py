@@ -195,7 +195,7 @@ def test_samples_do_not_depend_on_partitions(spark):
     assert picks[0] == picks[1] == picks[2] and 800 < len(picks[0]) < 1200
     strata = sampling.stratified_sample(df, "id", "c", 500).groupBy("c").count().collect()
     assert {r["c"]: r["count"] for r in strata}[1] == 500
-    folds = sampling.stratified_folds(df, "id", "c", 5, max_group_rows=50).groupBy("c", "fold").count().collect()
+    folds = sampling.stratified_folds(df, "id", "c", 5).groupBy("c", "fold").count().collect()
     assert {(r["c"], r["count"]) for r in folds} == {(0, 900), (1, 100)}
 
 
