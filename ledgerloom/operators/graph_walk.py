@@ -1,8 +1,10 @@
 """Set-based graph expansion: one plan for all seeds, one join per hop.
 
-Parallel edges are first folded into (u, v, multiplicity). Frontiers are sets of
-(seed, node), so a hub that sits between many nodes is expanded once per seed and
-not once per path through it.
+A hop joins the frontier, a table of its own, with the raw edges and folds what
+it meets into (node, next, multiplicity), so edges away from the frontier are
+read but never shuffled for grouping. Frontiers are sets of (seed, node): a hub
+that sits between many nodes is expanded once per seed and not once per path
+through it. Every layer is written once and read from there.
 """
 
 from __future__ import annotations
@@ -20,21 +22,27 @@ from ledgerloom.runtime import stage
 WITNESS_HOPS = 3
 
 
-def steps(edges: DataFrame, direction: str = "OUT") -> DataFrame:
-    """Folded steps (u, v, m): one can go from u to v over m different edges."""
-    ends = edges.select("src", "dst")
+def ends(edges: DataFrame, direction: str = "OUT") -> DataFrame:
+    """(u, v) for every edge: one can go from u to v."""
+    pairs = edges.select("src", "dst")
     if direction == "IN":
-        ends = ends.select(F.col("dst").alias("u"), F.col("src").alias("v"))
+        pairs = pairs.select(F.col("dst").alias("u"), F.col("src").alias("v"))
     elif direction == "BOTH":
         there = F.struct(F.col("src").alias("u"), F.col("dst").alias("v"))
         back = F.struct(F.col("dst").alias("u"), F.col("src").alias("v"))
         both = F.when(F.col("src") == F.col("dst"), F.array(there)).otherwise(F.array(there, back))
-        ends = ends.select(F.inline(both))
+        pairs = pairs.select(F.inline(both))
     elif direction == "OUT":
-        ends = ends.toDF("u", "v")
+        pairs = pairs.toDF("u", "v")
     else:
         raise ValueError("direction is OUT, IN or BOTH")
-    return ends.filter("u is not null and v is not null").groupBy("u", "v").agg(F.count("*").alias("m"))
+    return pairs.filter("u is not null and v is not null")
+
+
+def expand(frontier: DataFrame, at: str, pairs: DataFrame, to: str, times: str) -> DataFrame:
+    """`frontier` with one more step from node `at` to node `to`, taken over `times` different edges."""
+    met = frontier.join(pairs, F.col(at) == F.col("u")).withColumnRenamed("v", to)
+    return met.groupBy(*frontier.columns, to).agg(F.count("*").alias(times))
 
 
 def of_type(edges: DataFrame, column: str, kinds: list | None = None) -> DataFrame:
@@ -58,14 +66,13 @@ def trail_frontiers(edges: DataFrame, seeds: DataFrame, hops: int, direction: st
     """
     if hops > WITNESS_HOPS:
         return _enumerated_trails(edges, seeds, hops, direction)
-    step = steps(edges, direction)
-    first = seeds.select(F.col(seeds.columns[0]).alias("seed_id")).join(
-        step.select(F.col("u").alias("seed_id"), F.col("v").alias("a"), F.col("m").alias("m1")), "seed_id"
-    )
+    pairs = ends(edges, direction)
+    start = seeds.select(F.col(seeds.columns[0]).alias("seed_id")).distinct()
+    first = stage(expand(start, "seed_id", pairs, "a", "m1"), "trail-1")
     result = [first.select("seed_id", F.col("a").alias("node"))]
     if hops >= 2:
         second = (
-            first.join(step.select(F.col("u").alias("a"), F.col("v").alias("b"), F.col("m").alias("m2")), "a")
+            expand(first.select("seed_id", "a"), "a", pairs, "b", "m2")
             .filter(~_same(direction, "seed_id", "a", "a", "b") | (F.col("m2") >= 2))
             .groupBy("seed_id", "b")
             .agg(
@@ -74,11 +81,10 @@ def trail_frontiers(edges: DataFrame, seeds: DataFrame, hops: int, direction: st
                 F.max("a").alias("a_hi"),
             )
         )
+        second = stage(second, "trail-2")
         result.append(second.select("seed_id", F.col("b").alias("node")))
     if hops >= 3:
-        third = second.join(
-            step.select(F.col("u").alias("b"), F.col("v").alias("c"), F.col("m").alias("m3")), "b"
-        )
+        third = expand(second, "b", pairs, "c", "m3")
         # A way through a can only clash with the step (b, c) if a is b or c. So of
         # three ways one always fits, and of two the smallest and largest are all.
         fits = lambda a: (
@@ -86,7 +92,7 @@ def trail_frontiers(edges: DataFrame, seeds: DataFrame, hops: int, direction: st
             <= F.col("m3")
         )
         open_ = third.filter((F.col("ways") >= 3) | fits("a_lo") | fits("a_hi"))
-        result.append(open_.select("seed_id", F.col("c").alias("node")).distinct())
+        result.append(stage(open_.select("seed_id", F.col("c").alias("node")).distinct(), "trail-3"))
     return result
 
 
@@ -94,18 +100,20 @@ def _enumerated_trails(edges: DataFrame, seeds: DataFrame, hops: int, direction:
     """Trails of any length: paths that used the same edges and end alike are merged.
 
     The number of states grows with the number of edge sets, so long trails are
-    costly on dense graphs. Every hop is written out to keep the plan short.
+    costly on dense graphs. Node ids may be of any type.
     """
-    step = stage(steps(edges, direction), "graph-steps")
+    pairs = ends(edges, direction)
     edge = lambda: F.struct(F.least("node", "v").alias("x"), F.greatest("node", "v").alias("y")) if direction == "BOTH" else F.struct(F.col("node").alias("x"), F.col("v").alias("y"))
-    used_type = "array<struct<x:bigint,y:bigint>>"
+    kind = seeds.schema[0].dataType.simpleString()
     states = seeds.select(
-        F.col(seeds.columns[0]).cast("long").alias("seed_id"),
-        F.col(seeds.columns[0]).cast("long").alias("node"),
-        F.array().cast(used_type).alias("used"),
+        F.col(seeds.columns[0]).alias("seed_id"),
+        F.col(seeds.columns[0]).alias("node"),
+        F.array().cast(f"array<struct<x:{kind},y:{kind}>>").alias("used"),
     )
     result = []
     for _ in range(hops):
+        here = states.select("node").distinct()
+        step = pairs.join(here, F.col("u") == F.col("node"), "left_semi").groupBy("u", "v").agg(F.count("*").alias("m"))
         walked = states.join(step, states["node"] == step["u"]).withColumn("edge", edge())
         times = F.size(F.filter("used", lambda old: old == F.col("edge")))
         states = stage(
@@ -123,23 +131,27 @@ def _enumerated_trails(edges: DataFrame, seeds: DataFrame, hops: int, direction:
 
 
 def bfs_frontiers(edges: DataFrame, seeds: DataFrame, hops: int, direction: str = "OUT") -> DataFrame:
-    """(seed_id, node, hop): nodes by shortest distance 1..hops from each seed."""
-    step = steps(edges, direction).select(F.col("u").alias("node"), "v")
-    start = seeds.select(F.col(seeds.columns[0]).alias("seed_id"))
-    reach, layers = start.withColumn("node", F.col("seed_id")), []
+    """(seed_id, node, hop): nodes by shortest distance 1..hops from each seed.
+
+    Only nodes that were not reached before are expanded.
+    """
+    pairs = ends(edges, direction)
+    start = seeds.select(F.col(seeds.columns[0]).alias("seed_id")).distinct()
+    layer = start.withColumn("node", F.col("seed_id"))
+    visited, layers = layer, []
     for hop in range(1, hops + 1):
-        reach = reach.join(step, "node").select("seed_id", F.col("v").alias("node")).distinct()
-        if hop > WITNESS_HOPS:
-            reach = stage(reach, "bfs-layer")
-        layers.append(reach.withColumn("hop", F.lit(hop)))
-    everywhere = reduce(DataFrame.unionByName, layers)
-    return everywhere.filter("node <> seed_id").groupBy("seed_id", "node").agg(F.min("hop").alias("hop"))
+        met = layer.join(pairs, F.col("node") == F.col("u")).select("seed_id", F.col("v").alias("node")).distinct()
+        layer = stage(met.join(visited, ["seed_id", "node"], "left_anti"), "bfs-layer")
+        visited = visited.union(layer)
+        layers.append(layer.withColumn("hop", F.lit(hop)))
+    return reduce(DataFrame.unionByName, layers)
 
 
 def out_degree(edges: DataFrame, seeds: DataFrame) -> DataFrame:
     """Outgoing edges per seed, parallel edges counted, 0 where there is none."""
     name = seeds.columns[0]
-    counts = edges.groupBy(F.col("src").alias(name)).agg(F.count("*").alias("deg_out"))
+    own = edges.join(seeds.select(F.col(name).alias("src")), "src", "left_semi")
+    counts = own.groupBy(F.col("src").alias(name)).agg(F.count("*").alias("deg_out"))
     return seeds.join(counts, name, "left").select(name, F.coalesce("deg_out", F.lit(0)).alias("deg_out"))
 
 
@@ -209,10 +221,12 @@ def _log_size() -> Column:
 def size_biased_branching(edges: DataFrame, seeds: DataFrame, per_seed: int = 5, direction: str = "OUT") -> DataFrame:
     """Mean out-degree of up to `per_seed` scrambled distinct neighbours of each seed."""
     start = seeds.select(F.col(seeds.columns[0]).alias("seed_id"))
-    near = start.join(steps(edges, direction).select(F.col("u").alias("seed_id"), F.col("v").alias("node")), "seed_id")
+    near = expand(start, "seed_id", ends(edges, direction), "node", "times")
     order = Window.partitionBy("seed_id").orderBy(scramble("node"), "node")
-    picked = near.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= per_seed)
-    degrees = edges.groupBy(F.col("src").alias("node")).agg(F.count("*").alias("deg"))
+    ranked = near.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= per_seed)
+    picked = stage(ranked.select("seed_id", "node"), "branching-picked")
+    met = edges.join(picked.select(F.col("node").alias("src")).distinct(), "src", "left_semi")
+    degrees = met.groupBy(F.col("src").alias("node")).agg(F.count("*").alias("deg"))
     return picked.join(degrees, "node", "left").agg(
         F.count("*").alias("n_sampled"), F.avg(F.coalesce("deg", F.lit(0))).alias("m_size_biased")
     )

@@ -49,6 +49,10 @@ def knn(
     asked = queries.select(F.col(id_column).alias("query_id"), F.col(vector).alias("x"))
     # at most `pivots` vectors reach the driver
     chosen = [row[0] for row in base.orderBy(scramble("id"), "id").limit(pivots).select("x").collect()]
+    if not chosen:
+        kinds = ("query_id", base.schema["id"]), ("neighbor_id", base.schema["id"]), ("label", base.schema["label"])
+        names = ", ".join(f"{name} {field.dataType.simpleString()}" for name, field in kinds)
+        return base.sparkSession.createDataFrame([], f"{names}, distance double, rank int")
     centres = np.array(chosen, dtype=float)
 
     @F.pandas_udf("cell int, gap double")

@@ -79,6 +79,44 @@ for _hop in range(1, HOPS + 1):
     _bfs(_hop)
 
 
+def _bfs_sql(hop: int, direction: str, edges: str = "e") -> str:
+    """Nodes at distance `hop`, from all nodes within 0 .. hop steps."""
+    u, v = ("src", "dst") if direction == "OUT" else ("dst", "src")
+    source = f"SELECT {u} AS u, {v} AS v FROM {edges}" + (" UNION SELECT src, dst FROM " + edges if direction == "BOTH" else "")
+    layers = ["w AS (SELECT DISTINCT u, v FROM (" + source + "))", "l0 AS (SELECT seed_id, seed_id AS node, 0 AS hop FROM seeds)"]
+    for k in range(1, hop + 1):
+        layers.append(f"l{k} AS (SELECT DISTINCT seed_id, v AS node, {k} AS hop FROM l{k - 1} JOIN w ON u = node)")
+    every = " UNION ALL ".join(f"SELECT * FROM l{k}" for k in range(hop + 1))
+    far = f"SELECT seed_id, node FROM ({every}) GROUP BY 1, 2 HAVING min(hop) = {hop}"
+    return ", ".join(layers) + " " + _zero_kept(f"SELECT seed_id, count(*) AS frontier_size FROM ({far}) GROUP BY 1")
+
+
+def _bfs_along(name: str, direction: str) -> None:
+    @query(name, with_transfers(f", {SEED_SQL}, {_bfs_sql(2, direction)}"))
+    def run(spark, folder):
+        edges, seeds = _graph(spark, folder)
+        return walk.frontier_sizes(walk.bfs_frontiers(edges, seeds, 2, direction).filter("hop = 2"), seeds)
+
+
+_bfs_along("bfs_frontier_in_h2", "IN")
+_bfs_along("bfs_frontier_both_h2", "BOTH")
+
+_KINDS = ["1-URGENT", "2-HIGH"]
+
+
+@query(
+    "bfs_frontier_by_type_h2",
+    with_transfers(
+        f""", {SEED_SQL}, k AS (SELECT sender_account AS src, receiver_account AS dst FROM t
+        WHERE payment_type IN ({", ".join(f"'{kind}'" for kind in _KINDS)})), {_bfs_sql(2, "OUT", "k")}"""
+    ),
+)
+def _bfs_by_type(spark, folder):
+    edges = build_edges(transfers(spark, folder, currencies=False))
+    _, seeds = _graph(spark, folder)
+    return walk.frontier_sizes(walk.bfs_frontiers(walk.of_type(edges, "payment_type", _KINDS), seeds, 2).filter("hop = 2"), seeds)
+
+
 @query(
     "seed_sample",
     f"""SELECT c_custkey AS seed_id FROM customer

@@ -140,3 +140,9 @@ def test_forest_fills_only_gaps(spark):
     filled = models.forest_impute(df, "y", ["x"], trees=5)
     assert filled.count() == 60 and filled.filter("y is null").count() == 0
     assert filled.filter("id % 4 > 0 and y <> id * 2").count() == 0
+
+
+def test_neighbours_of_an_empty_training_set(spark):
+    train = spark.createDataFrame([], "id long, x array<double>, label int")
+    asked = spark.createDataFrame([(1, [1.0, 2.0], 0)], "id long, x array<double>, label int")
+    assert knn(train, asked, 3, "id", "x", "label").collect() == []

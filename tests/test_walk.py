@@ -100,4 +100,14 @@ def test_type_filter_and_bad_direction(spark):
     edges = spark.createDataFrame([(1, 1, 2, "TX"), (2, 2, 1, "FEE")], "id long, src long, dst long, kind string")
     assert walk.of_type(edges, "kind", ["TX"]).count() == 1 and walk.of_type(edges, "kind").count() == 2
     with pytest.raises(ValueError):
-        walk.steps(edges, "SIDEWAYS")
+        walk.ends(edges, "SIDEWAYS")
+
+
+def test_text_ids_walk_like_numbers(spark):
+    pairs = GRAPHS["parallel and loops"]
+    edges = spark.createDataFrame([(i, f"n{a}", f"n{b}") for i, (a, b) in enumerate(pairs)], "id long, src string, dst string")
+    seeds = spark.createDataFrame([("n1",), ("n4",)], "seed_id string")
+    got = {tuple(r) for r in walk.trail_frontiers(edges, seeds, 4)[3].collect()}
+    assert got == {(f"n{s}", f"n{n}") for s in (1, 4) for n in brute_trails(pairs, s, 4, "OUT")[3]}
+    reached = {tuple(r) for r in walk.bfs_frontiers(edges, seeds, 3).collect()}
+    assert reached == {("n1", "n2", 1), ("n1", "n3", 2)}
