@@ -58,8 +58,10 @@ def gaussian_predict(
     def score(c: Column) -> Column:
         total = F.ln(c["prior"])
         for f in features:
-            gap = F.col(f) - c[f"m_{f}"]
-            total = total - 0.5 * F.ln(2 * math.pi * c[f"v_{f}"]) - gap * gap / (2 * c[f"v_{f}"])
+            gap, spread = F.col(f) - c[f"m_{f}"], c[f"v_{f}"]
+            # a feature without any spread tells nothing about the class
+            term = 0.5 * F.ln(2 * math.pi * spread) + gap * gap / (2 * spread)
+            total = total - F.when(spread > 0, term).otherwise(0.0)
         return total
 
     scored = df.withColumn("__classes", classes)

@@ -30,9 +30,11 @@ from pyspark.ml.feature import (
 )
 from pyspark.ml.regression import LinearRegression, RandomForestRegressor
 from pyspark.ml.tuning import CrossValidator
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerloom.operators.ordered import by_key
+
 # Fixed value: seed of folds, searches and randomised learners.
 SEED = 107
 
@@ -122,7 +124,7 @@ def balanced_weights(df: DataFrame, label: str = "label") -> DataFrame:
     counts = df.groupBy(label).agg(F.count("*").alias("__n"))
     totals = counts.agg(F.struct(F.sum("__n").alias("n"), F.count("*").alias("k")).alias("s")).scalar()
     table = counts.select(label, (totals["n"] / (totals["k"] * F.col("__n"))).alias("weight"))
-    return df.join(table, label)
+    return df.withColumn("weight", by_key(table, label, "weight")).filter("weight is not null")
 
 
 def _evaluator() -> MulticlassClassificationEvaluator:
@@ -179,6 +181,19 @@ def in_sample_accuracy(model, df: DataFrame) -> DataFrame:
     )
 
 
+def held_out_score(pipeline: Pipeline, df: DataFrame, held_out: Column) -> DataFrame:
+    """Fitted on the rest, scored on the held-out rows: their number, labels, accuracy and largest class share."""
+    rows = df.withColumn("__held", held_out)
+    scored = pipeline.fit(rows.filter("not __held").drop("__held")).transform(rows.filter("__held").drop("__held"))
+    share = F.avg("label")
+    return scored.agg(
+        F.count("*").alias("n_held_out"),
+        F.sum("label").cast("long").alias("n_positive"),
+        F.avg((F.col("label") == F.col("prediction")).cast("double")).alias("accuracy"),
+        F.greatest(share, 1 - share).alias("majority_share"),
+    )
+
+
 def batch_score(model, df: DataFrame, id_column: str, output: str) -> DataFrame:
     return model.transform(df).select(id_column, F.col("prediction").cast("int").alias(output))
 
