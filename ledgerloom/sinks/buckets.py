@@ -34,24 +34,32 @@ def pending_buckets(sizes: DataFrame, manifest: DataFrame) -> DataFrame:
     return sizes.join(manifest.select("bucket"), "bucket", "left_anti")
 
 
-def export_buckets(df: DataFrame, path: str, manifest_path: str, sort: Sequence[str] = ()) -> DataFrame:
-    """Write the buckets the manifest does not list, sorted inside each file, then list them.
-
-    All pending buckets are written by one job. If it dies, the manifest is
-    unchanged and the next run replaces whatever it left behind.
+def export_buckets(
+    df: DataFrame, path: str, manifest_path: str, sort: Sequence[str] = (), at_once: int = 8
+) -> DataFrame:
+    """Write the buckets the manifest does not list, sorted inside each file, and list them.
+
+    `at_once` buckets are written by a job and listed when their files are
+    committed, with counts read from those files. If a job dies, earlier buckets
+    stay listed and the next run replaces what the dead one left behind.
     """
     spark = df.sparkSession
-    manifest = read_manifest(spark, manifest_path)
-    todo = df.join(manifest.select("bucket"), "bucket", "left_anti")
-    sizes = [tuple(row) for row in bucket_sizes(todo).collect()]
-    if sizes:
+    listed = {row["bucket"] for row in read_manifest(spark, manifest_path).select("bucket").distinct().collect()}
+    todo = sorted(row[0] for row in df.select("bucket").distinct().collect() if row[0] not in listed)
+    done = []
+    for start in range(0, len(todo), at_once):
+        batch = todo[start : start + at_once]
         (
-            todo.hint("rebalance", "bucket")
+            df.filter(F.col("bucket").isin(batch))
+            .hint("rebalance", "bucket")
             .sortWithinPartitions("bucket", *sort)
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy("bucket")
             .parquet(path)
         )
-        spark.createDataFrame(sizes, MANIFEST).coalesce(1).write.mode("append").parquet(manifest_path)
-    return spark.createDataFrame(sizes, MANIFEST)
+        stored = spark.read.schema(df.schema).parquet(path).filter(F.col("bucket").isin(batch))
+        rows = [(row["bucket"], row["rows"]) for row in bucket_sizes(stored).collect()]
+        spark.createDataFrame(rows, MANIFEST).coalesce(1).write.mode("append").parquet(manifest_path)
+        done += rows
+    return spark.createDataFrame(done, MANIFEST)

@@ -147,3 +147,15 @@ def test_stream_gives_the_finished_batch_windows(spark, folder, tmp_path):
     last = pairs.agg(F.max("ts")).first()[0]
     finished = pair_windows(pairs, "1 day").filter(F.col("win_end") <= F.lit(last) - F.expr("interval 1 hour"))
     assert finished.count() == emitted.count()
+
+
+def test_an_export_that_dies_midway_goes_on_where_it_stopped(spark, tmp_path):
+    out, done = str(tmp_path / "out"), str(tmp_path / "done")
+    df = buckets.with_bucket(spark.range(800), "id", 8)
+    trap = F.when(F.col("bucket") >= 4, F.raise_error("stopped").cast("long")).otherwise(F.col("id"))
+    with pytest.raises(Exception, match="stopped"):
+        buckets.export_buckets(df.withColumn("id", trap), out, done, at_once=2)
+    assert {r["bucket"] for r in buckets.read_manifest(spark, done).collect()} == {0, 1, 2, 3}
+    rest = buckets.export_buckets(df, out, done, ["id"], at_once=2)
+    assert {r["bucket"] for r in rest.collect()} == {4, 5, 6, 7}
+    assert spark.read.parquet(out).count() == 800 == buckets.read_manifest(spark, done).agg(F.sum("rows")).first()[0]
