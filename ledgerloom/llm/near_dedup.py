@@ -46,6 +46,8 @@ RATE = 20.0  # keeps the registers of one-shingle sets above 0
 TOP = 255
 BATCH_BYTES = 4 << 20
 UNLIKELY = 14.0
+LEAST_SAME = 0.65  # at J = 0.8 fewer equal registers have a probability below 1e-12
+BLOCK = 1024  # members of a group that one task compares with as many others
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 STRIDES = np.array([s for s in range(1, REGISTERS) if gcd(s, REGISTERS) == 1], np.int64)
 
@@ -223,9 +225,66 @@ class Tester:
         both = pairs.join(side("a"), F.col("a") == F.col("a_rep")).join(side("b"), F.col("b") == F.col("b_rep"))
         return both.drop("a_rep", "b_rep").mapInArrow(run, "u long, v long").distinct()
 
+    def likely_across(self, members: DataFrame) -> DataFrame:
+        """Likely pairs of different components within the groups (spot, rep, component).
+
+        Most members of a large group are in one component by now and need no
+        tests among themselves. The others, in blocks, meet all members, in
+        blocks; the registers are compared within the task and only likely
+        pairs leave it.
+        """
+        counts = members.groupBy("spot", "component").agg(F.count("*").alias("n"))
+        size = F.max(F.struct("n", "component"))
+        groups = counts.groupBy("spot").agg(size.alias("main"), F.count("*").alias("parts"), F.sum("n").alias("all"))
+        groups = stage(
+            groups.where("parts > 1 and all > 2").select(
+                F.col("spot").alias("g_spot"), F.col("main.component").alias("main"),
+                F.ceil((F.col("all") - F.col("main.n")) / BLOCK).cast("int").alias("few_blocks"),
+                F.ceil(F.col("all") / BLOCK).cast("int").alias("all_blocks"),
+            ),
+            "near-mixed",
+        )
+        rows = members.join(groups, F.col("spot") == F.col("g_spot")).join(
+            self.reps.select(F.col("rep").alias("r_rep"), "n_shingles", "registers"), F.col("rep") == F.col("r_rep")
+        )
+        own = F.xxhash64("rep")
+        sides = F.array(
+            F.struct(F.lit(False).alias("few"), F.sequence(F.lit(0), F.col("few_blocks") - 1).alias("i"),
+                     F.array(F.pmod(own, "all_blocks").cast("int")).alias("j")),
+            F.when(F.col("component") != F.col("main"),
+                   F.struct(F.lit(True).alias("few"), F.array(F.pmod(own, "few_blocks").cast("int")).alias("i"),
+                            F.sequence(F.lit(0), F.col("all_blocks") - 1).alias("j"))),
+        )
+        kept = ["spot", "rep", "component", "n_shingles", "registers"]
+        dealt = rows.select(*kept, F.explode(F.filter(sides, lambda x: x.isNotNull())).alias("side"))
+        dealt = dealt.select(*kept, "side.few", F.explode("side.i").alias("i"), "side.j")
+        dealt = dealt.select(*kept, "few", "i", F.explode("j").alias("j"))
+        percent = self.percent
+
+        def compare(table: pa.Table) -> pa.Table:
+            few = table.column("few").to_numpy()
+            rep, component = table.column("rep").to_numpy(), table.column("component").to_numpy()
+            n = table.column("n_shingles").to_numpy().astype(float)
+            regs = np.frombuffer(b"".join(table.column("registers").to_pylist()), np.uint8).reshape(len(rep), -1)
+            x, found = np.flatnonzero(~few), []
+            for y in np.flatnonzero(few):
+                close = x[(component[x] != component[y]) & (100 * np.minimum(n[x], n[y]) >= percent * np.maximum(n[x], n[y]))]
+                close = close[(regs[close] == regs[y]).mean(1) >= LEAST_SAME]
+                if len(close):
+                    close = close[plausible(regs[close], regs[[y]], n[close], n[[y]], percent)]
+                    found += [(min(r, int(rep[y])), max(r, int(rep[y]))) for r in rep[close].tolist()]
+            a, b = zip(*found) if found else ([], [])
+            return pa.table([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+        return dealt.groupBy("spot", "i", "j").applyInArrow(compare, "a long, b long").distinct()
+
     def test(self, pairs: DataFrame) -> None:
         pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a < b").distinct()
-        found = self.confirmed(stage(self.likely(stage(pairs, "near-pairs")), "near-likely"))
+        self.confirm(stage(self.likely(stage(pairs, "near-pairs")), "near-likely"))
+
+    def confirm(self, pairs: DataFrame) -> None:
+        """Verify pairs (a < b) and join their components."""
+        found = self.confirmed(pairs)
         self.links = stage(found if self.links is None else self.links.union(found), "near-links")
         self.labels = stage(components(self.links), "near-components")
 
@@ -253,23 +312,7 @@ def linked(docs: DataFrame, size: int = 2, percent: int = 80) -> DataFrame:
     stars = members.select(F.col("low").alias("a"), F.col("rep").alias("b")).where("a < b").distinct()
     apart = tester.labelled(tester.labelled(stars, "a", "ca"), "b", "cb").where("ca <> cb")
     tester.test(apart)
-    # what groups of bands still hold of different components; the largest one needs no pairs within
-    rows = stage(tester.labelled(members, "rep", "component"), "near-apart")
-    counts = rows.groupBy("spot", "component").agg(F.count("*").alias("n"))
-    main = counts.groupBy("spot").agg(
-        F.max(F.struct("n", "component")).alias("main"), F.count("*").alias("parts"), F.sum("n").alias("all")
-    )
-    mixed_spots = main.where("parts > 1 and all > 2").select(F.col("spot").alias("m_spot"), F.col("main.component").alias("main"))
-    rows = stage(
-        rows.join(mixed_spots, F.col("spot") == F.col("m_spot")).select("spot", "rep", "low", "component", "main"), "near-mixed"
-    )
-    few = rows.where("component <> main").select(
-        F.col("spot").alias("f_spot"), F.col("rep").alias("a"), F.col("component").alias("f_component"), F.col("low").alias("f_low")
-    )
-    rest = few.join(rows, F.col("f_spot") == F.col("spot")).where(
-        "f_component <> component and (component = main or a < rep) and a <> low and rep <> low"
-    )
-    tester.test(rest.select("a", F.col("rep").alias("b")))
+    tester.confirm(stage(tester.likely_across(tester.labelled(members, "rep", "component")), "near-likely"))
     labelled = tester.labelled(classed.select("doc_id", "n_shingles", "rep"), "rep", "component")
     component = F.when(F.col("rep").isNull(), F.col("doc_id")).otherwise(F.col("component"))
     return labelled.select("doc_id", "n_shingles", component.alias("component_id")).select(
