@@ -149,13 +149,15 @@ def recognised(docs: DataFrame, model: Model | None, least: float = LEAST_SCORE)
     """The rows of `docs`, all columns, whose language is known with a score of `least` or more."""
     sent = shared(docs.sparkSession, model)
 
-    @F.pandas_udf("lang_pred string, score double")
-    def found(text):
-        import pandas as pd
-
+    @F.arrow_udf("lang_pred string, score double")
+    def found(text: pa.Array) -> pa.Array:
         own = None if sent.value is None else Model(*sent.value)
-        names, scores = judge(own, [None if t is None or t != t else t for t in text])
-        return pd.DataFrame({"lang_pred": names, "score": scores})
+        names, scores = [], [np.zeros(0)]
+        for at in range(0, len(text), BLOCK):  # only a block of texts at a time is turned into strings
+            own_names, own_scores = judge(own, text.slice(at, BLOCK).to_pylist())
+            names += own_names
+            scores.append(own_scores)
+        return pa.StructArray.from_arrays([pa.array(names, pa.string()), pa.array(np.concatenate(scores))], ["lang_pred", "score"])
 
     rows = docs.select(F.struct(*docs.columns).alias("doc")).withColumn("found", found("doc.text"))
     return rows.where((F.col("found.lang_pred") != UNKNOWN) & (F.col("found.score") >= least)).select("doc.*")

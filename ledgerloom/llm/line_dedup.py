@@ -105,20 +105,22 @@ def without_runs(docs: DataFrame, run: int = RUN) -> DataFrame:
     same = F.col("doc_id").eqNullSafe(F.col("s_id")) & (F.col("text_key") == F.col("s_key"))
     joined = keyed.select("doc", "doc_id", "text_key").join(starts, same, "left")
 
-    @F.pandas_udf("kept string, n_lines long, n_removed long")
-    def cut(text, starts):
-        import pandas as pd
-
-        rows = []
-        for body, at in zip(text, starts):
+    @F.arrow_udf("kept string, n_lines long, n_removed long")
+    def cut(text: pa.Array, starts: pa.Array) -> pa.Array:
+        kept, counts, removed = [], [], []
+        for body, at in zip(text, starts):  # one text at a time is turned into a string
+            body, at = body.as_py(), at.as_py()
             lines = body.split("\n") if body else []
             gone = np.zeros(len(lines) + 1, np.int64)
             if at is not None:
                 np.add.at(gone, at, 1)
                 np.add.at(gone, np.asarray(at) + run, -1)
             gone = np.cumsum(gone[:-1]) > 0
-            rows.append(("\n".join(x for x, g in zip(lines, gone) if not g) if gone.any() else body, len(lines), int(gone.sum())))
-        return pd.DataFrame(rows, columns=["kept", "n_lines", "n_removed"])
+            kept.append("\n".join(x for x, g in zip(lines, gone) if not g) if gone.any() else body)
+            counts.append(len(lines))
+            removed.append(int(gone.sum()))
+        columns = [pa.array(kept, pa.string()), pa.array(counts, pa.int64()), pa.array(removed, pa.int64())]
+        return pa.StructArray.from_arrays(columns, ["kept", "n_lines", "n_removed"])
 
     found = cut(F.coalesce("doc.text", F.lit("")), "starts")
     return joined.select("doc", found.alias("found")).select("doc", "found.*")

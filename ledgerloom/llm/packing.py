@@ -33,7 +33,7 @@ from ledgerloom.llm.common import as_bytes, documents, pieces, stage, texts
 
 CAPACITY = 4096
 END_ID = 1
-CACHE_WORDS = 1_000_000  # words whose ids a worker remembers from task to task
+CACHE_WORDS = 600_000  # words whose ids a worker remembers from task to task
 BATCH_BYTES = 4 << 20
 
 

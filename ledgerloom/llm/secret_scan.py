@@ -172,21 +172,20 @@ def redacted(docs: DataFrame, owner: Column, replacement: str = REPLACEMENT) ->
     key = F.xxhash64(F.coalesce("doc.text", F.lit("")))
     joined = packed.join(spans, F.col("doc.doc_id").eqNullSafe(F.col("s_id")) & (key == F.col("s_key")), "left")
 
-    @F.pandas_udf("string")
-    def cut(text, start, end):
-        import pandas as pd
-
+    @F.arrow_udf("string")
+    def cut(text: pa.Array, start: pa.Array, end: pa.Array) -> pa.Array:
         out = []
-        for t, starts, ends in zip(text, start, end):
+        for t, starts, ends in zip(text, start.to_pylist(), end.to_pylist()):
+            t = t.as_py()
             if starts is not None:
                 parts, at = [], 0
-                for a, b in sorted(zip(starts.tolist(), ends.tolist())):
+                for a, b in sorted(zip(starts, ends)):
                     if a >= at:
                         parts += [t[at:a], replacement]
                     at = max(at, b)
                 t = "".join(parts) + t[at:]
             out.append(t)
-        return pd.Series(out, dtype=object)
+        return pa.array(out, pa.string())
 
     text = cut(F.col("doc.text"), "start", "end")
     return joined.select(*[text.alias(n) if n == "text" else F.col("doc")[n].alias(n) for n in names])

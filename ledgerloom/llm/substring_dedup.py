@@ -37,7 +37,7 @@ WINDOW = 13
 BATCH_BYTES = 8 << 20
 RANGE_BYTES = 4 << 20  # text whose windows one hash range holds
 GROUP_BYTES = 2 << 20  # text that one group of documents holds
-CACHE_WORDS = 500_000
+CACHE_WORDS = 250_000
 BASE = np.uint64(0x9E3779B97F4A7C15)
 INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 NO_ID = -(1 << 63)
