@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 from ledgerloom.llm.common import stage
 
 
+EDGES_A_FILE = 500_000
+
+
 def starred(pairs: DataFrame) -> DataFrame:
     """(u, v): every u of `pairs` and each v it stands with, moved to the least v."""
     least = pairs.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("m_u"), "m")
@@ -23,7 +26,8 @@ def components(edges: DataFrame) -> DataFrame:
     edges = edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
     known = None
     while True:
-        edges = stage(edges, "component-edges")
+        # few edges need few files; their number never grows
+        edges = stage(edges if known is None else edges.coalesce(8 + known[0] // EDGES_A_FILE), "component-edges")
         mark = edges.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first()
         if mark == known:
             return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).union(

@@ -14,8 +14,9 @@ are let go; the rest is confirmed on the full shingle sets.
 
 Documents with equal sets are one class and are tested once. Of a band's group
 not all pairs are tested: first each document with the least document it meets,
-then with the least of every group, then what still lies in different
-components. What is already connected needs no test, so a large group of copies
+then with the closest likely one of each other component in its groups, then
+with eight times as many, until no likely pair of different components is left
+untested. What is already connected needs no test, so a large group of copies
 costs a few tests for each member, and no link between components is lost.
 
 Defined cases: a null or empty text has an empty set and is linked with nothing;
@@ -225,13 +226,14 @@ class Tester:
         both = pairs.join(side("a"), F.col("a") == F.col("a_rep")).join(side("b"), F.col("b") == F.col("b_rep"))
         return both.drop("a_rep", "b_rep").mapInArrow(run, "u long, v long").distinct()
 
-    def likely_across(self, members: DataFrame) -> DataFrame:
-        """Likely pairs of different components within the groups (spot, rep, component).
+    def likely_across(self, members: DataFrame, most: int) -> DataFrame:
+        """Likely pairs (a, b, more) of different components within the groups (spot, rep, component).
 
         Most members of a large group are in one component by now and need no
         tests among themselves. The others, in blocks, meet all members, in
-        blocks; the registers are compared within the task and only likely
-        pairs leave it.
+        blocks; the registers are compared within the task. Of each document's
+        likely partners in another component the `most` closest leave it, since
+        one confirmed link joins the two; `more` says that others are left.
         """
         counts = members.groupBy("spot", "component").agg(F.count("*").alias("n"))
         size = F.max(F.struct("n", "component"))
@@ -269,14 +271,22 @@ class Tester:
             x, found = np.flatnonzero(~few), []
             for y in np.flatnonzero(few):
                 close = x[(component[x] != component[y]) & (100 * np.minimum(n[x], n[y]) >= percent * np.maximum(n[x], n[y]))]
-                close = close[(regs[close] == regs[y]).mean(1) >= LEAST_SAME]
+                same = (regs[close] == regs[y]).mean(1)
+                close, same = close[same >= LEAST_SAME], same[same >= LEAST_SAME]
                 if len(close):
-                    close = close[plausible(regs[close], regs[[y]], n[close], n[[y]], percent)]
-                    found += [(min(r, int(rep[y])), max(r, int(rep[y]))) for r in rep[close].tolist()]
-            a, b = zip(*found) if found else ([], [])
-            return pa.table([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
-
-        return dealt.groupBy("spot", "i", "j").applyInArrow(compare, "a long, b long").distinct()
+                    fits = plausible(regs[close], regs[[y]], n[close], n[[y]], percent)
+                    close, same = close[fits], same[fits]
+                order = np.lexsort((rep[close], -same, component[close]))
+                close = close[order]
+                first = np.flatnonzero(np.r_[True, component[close][1:] != component[close][:-1]]) if len(close) else []
+                for start, stop in zip(first, [*first[1:], len(close)]):
+                    for r in rep[close[start : min(stop, start + most)]].tolist():
+                        found.append((min(r, int(rep[y])), max(r, int(rep[y])), bool(stop - start > most)))
+            a, b, more = zip(*found) if found else ([], [], [])
+            return pa.table([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(more, pa.bool_())], names=["a", "b", "more"])
+
+        pairs = dealt.groupBy("spot", "i", "j").applyInArrow(compare, "a long, b long, more boolean")
+        return pairs.groupBy("a", "b").agg(F.max("more").alias("more"))
 
     def test(self, pairs: DataFrame) -> None:
         pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a < b").distinct()
@@ -307,12 +317,15 @@ def linked(docs: DataFrame, size: int = 2, percent: int = 80) -> DataFrame:
     reps = classed.where("doc_id = rep").select("rep", "n_shingles", "registers")
     members = stage(groups_of_bands(reps), "near-groups")
     tester = Tester(plain, reps, members, size, percent)
-    # each document with the least one it meets, then with the least of all its groups
+    # each document with the least one it meets, then the closest of other components, ever more of them
     tester.test(members.groupBy(F.col("rep").alias("b")).agg(F.min("low").alias("a")))
-    stars = members.select(F.col("low").alias("a"), F.col("rep").alias("b")).where("a < b").distinct()
-    apart = tester.labelled(tester.labelled(stars, "a", "ca"), "b", "cb").where("ca <> cb")
-    tester.test(apart)
-    tester.confirm(stage(tester.likely_across(tester.labelled(members, "rep", "component")), "near-likely"))
+    most = 1
+    while True:
+        likely = stage(tester.likely_across(tester.labelled(members, "rep", "component"), most), "near-likely")
+        tester.confirm(likely.select("a", "b"))
+        if likely.where("more").isEmpty():
+            break
+        most *= 8
     labelled = tester.labelled(classed.select("doc_id", "n_shingles", "rep"), "rep", "component")
     component = F.when(F.col("rep").isNull(), F.col("doc_id")).otherwise(F.col("component"))
     return labelled.select("doc_id", "n_shingles", component.alias("component_id")).select(
