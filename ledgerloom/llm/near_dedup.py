@@ -14,9 +14,9 @@ are let go; the rest is confirmed on the full shingle sets.
 
 Documents with equal sets are one class and are tested once. Of a band's group
 not all pairs are tested: first each document with the least document it meets,
-then with the closest likely one of each other component in its groups, then
-with eight times as many, until no likely pair of different components is left
-untested. What is already connected needs no test, so a large group of copies
+then the pairs that are a group of their own, then each document with the
+closest likely one of each other component in its larger groups, then with eight
+times as many, until no likely pair of different components is left untested. What is already connected needs no test, so a large group of copies
 costs a few tests for each member, and no link between components is lost.
 
 Defined cases: a null or empty text has an empty set and is linked with nothing;
@@ -161,11 +161,13 @@ def sketched(docs: DataFrame, size: int) -> DataFrame:
 
 
 def groups_of_bands(reps: DataFrame) -> DataFrame:
-    """spot, rep: documents that agree in a band with another document; `spot` names the band and its registers."""
+    """spot, rep, low, two: documents that agree in a band with another document; `spot` names the band and its registers."""
     bands = reps.select("rep", F.posexplode(F.array(*[F.substring("registers", i * ROWS + 1, ROWS) for i in range(BANDS)])))
     bands = bands.select(F.xxhash64("pos", "col").alias("spot"), "rep")
-    shared = bands.groupBy("spot").agg(F.min("rep").alias("low"), F.max("rep").alias("high")).where("low < high")
-    return bands.join(shared.select(F.col("spot").alias("s_spot"), "low"), F.col("spot") == F.col("s_spot")).select("spot", "rep", "low")
+    least, two = F.min("rep").alias("low"), (F.count("*") == 2).alias("two")
+    shared = bands.groupBy("spot").agg(least, F.max("rep").alias("high"), two).where("low < high")
+    shared = shared.select(F.col("spot").alias("s_spot"), "low", "two")
+    return bands.join(shared, F.col("spot") == F.col("s_spot")).select("spot", "rep", "low", "two")
 
 
 class Tester:
@@ -227,7 +229,7 @@ class Tester:
         return both.drop("a_rep", "b_rep").mapInArrow(run, "u long, v long").distinct()
 
     def likely_across(self, members: DataFrame, most: int) -> DataFrame:
-        """Likely pairs (a, b, more) of different components within the groups (spot, rep, component).
+        """Likely pairs (a, b, more) of different components within the groups (spot, rep, component) of three or more.
 
         Most members of a large group are in one component by now and need no
         tests among themselves. The others, in blocks, meet all members, in
@@ -317,8 +319,13 @@ def linked(docs: DataFrame, size: int = 2, percent: int = 80) -> DataFrame:
     reps = classed.where("doc_id = rep").select("rep", "n_shingles", "registers")
     members = stage(groups_of_bands(reps), "near-groups")
     tester = Tester(plain, reps, members, size, percent)
-    # each document with the least one it meets, then the closest of other components, ever more of them
-    tester.test(members.groupBy(F.col("rep").alias("b")).agg(F.min("low").alias("a")))
+    # each document with the least one it meets, then the groups of two, which need not be with that one,
+    # then the closest of other components, ever more of them
+    stars = members.groupBy(F.col("rep").alias("b")).agg(F.min("low").alias("a"))
+    tester.test(stars)
+    twos = members.where("two and low < rep").select(F.col("low").alias("a"), F.col("rep").alias("b")).distinct()
+    untested = twos.join(stars, ["a", "b"], "left_anti")
+    tester.test(tester.labelled(tester.labelled(untested, "a", "ca"), "b", "cb").where("ca <> cb"))
     most = 1
     while True:
         likely = stage(tester.likely_across(tester.labelled(members, "rep", "component"), most), "near-likely")

@@ -104,6 +104,17 @@ def test_near_dedup_of_a_large_group_near_the_threshold(spark):
     assert got == corpus.brute_near(rows)
 
 
+def test_near_dedup_of_pairs_that_meet_a_smaller_stranger(spark):
+    rows = []
+    for i in range(0, 180, 3):
+        last = corpus.prose(1000 + i, 120)
+        rows.append((i, " ".join(last[:80] + corpus.prose(2000 + i, 40))))  # shares half of the shingles: some bands
+        rows += [(i + 1, " ".join(corpus.edited(last, i, 5))), (i + 2, " ".join(last))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in near_dedup.linked(docs).collect()}
+    assert got == corpus.brute_near(rows)
+
+
 def spark_hash(values: list[int], seed: int = 42) -> int:
     for v in values:
         seed = xxhash.xxh64_intdigest(struct.pack("<Q", v), seed)
