@@ -1,16 +1,19 @@
 """URL verdicts from rules and from path templates.
 
 Each host has a tree of path segments. Level by level, segments that are rare
-under their parent become a wildcard of their shape. Of the frequent ones, those
-whose children and labels are distributed like all frequent siblings together
-(chi-square and a two-sided test of the bad share, both at three standard
-deviations) merge into one branch; the others stay literal. A template, the
+under their parent become a wildcard of their shape, unless the bad share of
+their labelled pages differs from that of all rare siblings of the shape (a
+two-sided test at three standard deviations): those stay literal. Of the
+frequent ones, those whose children and labels are distributed like all frequent
+siblings together (chi-square and a two-sided test of the bad share, both at
+three standard deviations) merge into one branch; the others stay literal. A template, the
 path of generalised segments, is rejected when its smoothed labelled purity
 (bad + s * p) / (labelled + s) reaches a threshold; p is the share of bad pages
 among all pages and s the strength of that prior.
 
 All steps work on distinct (host, path) pairs with their counts. A level's join
-holds literal segments only, of which a parent has at most 1 / `SHARE`.
+holds literal segments only: at most 1 / `SHARE` frequent ones of a parent, and
+the rare ones whose labels differ, however many.
 
 Defined cases: a null url, or one without `://`, has an empty host and path; a
 url without a fitting rule is judged by its template; an empty path is the
@@ -27,8 +30,8 @@ from pyspark.sql import functions as F
 from ledgerloom.llm.common import UPPER, pages, stage
 
 DEPTH = 6
-LEAST = 5  # a literal segment has at least so many pages ..
-SHARE = 0.02  # .. and this share of its parent's
+LEAST = 5  # a literal segment has at least so many pages
+SHARE = 0.02  # a segment with this share of its parent's pages is compared with the others that have it
 STRENGTH = 10.0
 REJECT = 0.8
 DEVIATIONS = 3.0
@@ -70,15 +73,15 @@ def shape(segment: Column) -> Column:
 
 
 def literals(paths: DataFrame) -> DataFrame:
-    """host, prefix, seg, branch: the frequent segments of a level and what they become."""
+    """host, prefix, seg, branch: the segments of a level that do not become a wildcard of their shape."""
     nodes = paths.where("seg is not null").groupBy("host", "prefix", "seg").agg(
-        F.sum("n").alias("n"), F.sum("bad").alias("bad"),
+        F.sum("n").alias("n"), F.sum("labelled").alias("labelled"), F.sum("bad").alias("bad"),
         *[F.sum(F.when(F.col("next") == s, F.col("n")).otherwise(0)).alias(s) for s in SHAPES],
     )
     parents = nodes.groupBy("host", "prefix").agg(F.sum("n").alias("total"))
-    frequent = stage(
-        nodes.join(parents, ["host", "prefix"]).where((F.col("n") >= LEAST) & (F.col("n") >= SHARE * F.col("total"))), "url-frequent"
-    )
+    often = (F.col("n") >= LEAST) & (F.col("n") >= SHARE * F.col("total"))
+    segments = stage(nodes.join(parents, ["host", "prefix"]).withColumn("frequent", often), "url-segments")
+    frequent = segments.where("frequent")
     pooled = frequent.groupBy("host", "prefix").agg(
         F.sum("n").alias("p_n"), F.sum("bad").alias("p_bad"), F.count("*").alias("siblings"),
         *[F.sum(s).alias(f"p_{s}") for s in SHAPES],
@@ -91,15 +94,27 @@ def literals(paths: DataFrame) -> DataFrame:
     spread = F.sqrt(F.col("n") * rate * (1 - rate))
     alike = (chi <= free + DEVIATIONS * F.sqrt(2 * free)) & (F.abs(F.col("bad") - F.col("n") * rate) <= DEVIATIONS * spread)
     branch = F.when((F.col("siblings") > 1) & alike, F.lit("*")).otherwise(F.col("seg"))
-    return both.select(
-        F.col("host").alias("l_host"), F.col("prefix").alias("l_prefix"), F.col("seg").alias("l_seg"), branch.alias("branch")
-    )
+    known = both.select("host", "prefix", "seg", branch.alias("branch")).unionByName(deviating(segments.where("not frequent")))
+    return known.select(F.col("host").alias("l_host"), F.col("prefix").alias("l_prefix"), F.col("seg").alias("l_seg"), "branch")
+
+
+def deviating(rare: DataFrame) -> DataFrame:
+    """host, prefix, seg, branch: rare segments whose labels differ from those of all rare siblings of their shape."""
+    rare = rare.withColumn("shape", shape(F.col("seg")))
+    key = ["host", "prefix", "shape"]
+    pooled = rare.groupBy(*key).agg(F.sum("labelled").alias("p_labelled"), F.sum("bad").alias("p_bad"))
+    pooled = pooled.where("p_bad > 0 and p_bad < p_labelled")  # else all labels agree
+    rate = F.col("p_bad") / F.col("p_labelled")
+    # a variance below one page says little about so few labels
+    spread = F.sqrt(F.greatest(F.col("labelled") * rate * (1 - rate), F.lit(1.0)))
+    unlike = F.abs(F.col("bad") - F.col("labelled") * rate) > DEVIATIONS * spread
+    return rare.where(F.col("n") >= LEAST).join(pooled, key).where(unlike).select("host", "prefix", "seg", F.col("seg").alias("branch"))
 
 
 def templates(paths: DataFrame, depth: int = DEPTH) -> DataFrame:
     """host, path, template for (host, path, n, labelled, bad)."""
     segments = F.filter(F.split("path", "/"), lambda s: s != "")
-    rows = paths.select("host", "path", "n", "bad", segments.alias("segs"), F.lit("").alias("prefix"))
+    rows = paths.select("host", "path", "n", "labelled", "bad", segments.alias("segs"), F.lit("").alias("prefix"))
     levels = min(depth, rows.agg(F.max(F.size("segs"))).first()[0] or 0)
     for level in range(levels):
         seg, after = F.get("segs", F.lit(level)), F.get("segs", F.lit(level + 1))
@@ -108,7 +123,7 @@ def templates(paths: DataFrame, depth: int = DEPTH) -> DataFrame:
         match = (F.col("host") == F.col("l_host")) & (F.col("prefix") == F.col("l_prefix")) & (F.col("seg") == F.col("l_seg"))
         wild = F.concat(F.lit("<"), shape(F.col("seg")), F.lit(">"))
         rows = rows.join(known, match, "left").select(
-            "host", "path", "n", "bad", "segs",
+            "host", "path", "n", "labelled", "bad", "segs",
             F.when(F.col("seg").isNull(), F.col("prefix"))
             .otherwise(F.concat("prefix", F.lit("/"), F.coalesce("branch", wild)))
             .alias("prefix"),

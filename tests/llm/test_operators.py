@@ -338,6 +338,27 @@ def test_url_templates_generalise_merge_and_reject(spark):
     assert {r["template"] for r in url_filter.judged(same, None, []).collect()} == {"/*/<number>"}
 
 
+def test_url_templates_keep_a_rare_section_whose_labels_differ(spark):
+    names = [a + b for a in "abcdefghijkl" for b in "abcdefghijkl"]
+    urls, labels = [], []
+    for host, bad in (("clean.org", {"bb"}), ("spam.org", set(names) - {"bb"})):
+        for name in names:
+            for i in range(60):  # under 1 % of the host's pages
+                urls.append((len(urls), f"http://{host}/{name}/{i if name < 'f' else 'x'}/{i}"))
+                if i < 50:
+                    labels.append((len(urls) - 1, int(name in bad)))
+    found = url_filter.judged(
+        spark.createDataFrame(urls, "page_id long, url string"), spark.createDataFrame(labels, "page_id long, bad int"), []
+    ).collect()
+    verdicts = {(r["host"], r["path"].split("/")[1]): set() for r in found}
+    for r in found:
+        verdicts[r["host"], r["path"].split("/")[1]].add(r["verdict"])
+    for name in names:
+        odd = name == "bb"
+        assert verdicts["clean.org", name] == {"block" if odd else "allow"}
+        assert verdicts["spam.org", name] == {"allow" if odd else "block"}
+
+
 def test_language_model_learns_from_its_sample():
     chance = random.Random(3)
     alphabets = {"aa": "abcde ", "bb": "bcdfg ", "cc": "xyzab "}
