@@ -106,7 +106,11 @@ def sample(labelled: DataFrame) -> tuple[list[str], list[str]]:
         .select("least.doc_id")
         .distinct()
     )
-    rows = labelled.join(ids, "doc_id", "left_semi").where("text is not null and lang is not null").select("doc_id", "text", "lang")
+    rows = labelled.join(ids, "doc_id", "left_semi").where("text is not null and lang is not null")
+    # a doc_id may stand on many rows, of which each (language, bucket) takes one, with a letter if there is such
+    best = F.min(F.struct((~F.col("text").rlike(r"\p{L}")).alias("bare"), F.xxhash64("doc_id", F.lit(18)).alias("order"), "doc_id", "text"))
+    rows = rows.groupBy("lang", F.pmod(h, F.lit(BUCKETS)).alias("bucket")).agg(best.alias("best"))
+    rows = rows.select("best.doc_id", "best.text", "lang")
     rows = sorted((r["doc_id"], r["lang"], r["text"]) for r in rows.collect() if has_letter(r["text"]))
     return [r[2] for r in rows], [r[1] for r in rows]
 

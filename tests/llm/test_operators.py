@@ -359,6 +359,12 @@ def test_url_templates_keep_a_rare_section_whose_labels_differ(spark):
         assert verdicts["spam.org", name] == {"allow" if odd else "block"}
 
 
+def test_language_sample_is_bounded_when_rows_share_an_id(spark):
+    rows = [(7, f"text number {i}", "en") for i in range(600)] + [(7, "123", "en"), (7, "ein Text", "de"), (8, "another", "en")]
+    texts, labels = language_id.sample(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert sorted(zip(labels, texts)) == [("de", "ein Text"), ("en", "another"), ("en", "text number 0")]
+
+
 def test_language_model_learns_from_its_sample():
     chance = random.Random(3)
     alphabets = {"aa": "abcde ", "bb": "bcdfg ", "cc": "xyzab "}
