@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from ledgerloom.llm import doc_fingerprint, exact_dedup, language_id, line_dedup, merkle_manifest, near_dedup, packing, secret_scan, sentence_pieces, substring_dedup, url_filter
+from ledgerloom.llm import curve_packing, doc_fingerprint, exact_dedup, language_id, line_dedup, merkle_manifest, near_dedup, packing, ranked_search, secret_scan, sentence_pieces, substring_dedup, url_filter
 from ledgerloom.llm.common import Query
 
 QUERIES: dict[str, Query] = {
@@ -16,11 +16,14 @@ QUERIES: dict[str, Query] = {
     "op8_best_fit_packing": packing.op8_best_fit_packing,
     "op9_exact_dedup": exact_dedup.op9_exact_dedup,
     "op10_line_dedup": line_dedup.op10_line_dedup,
+    "op11_curve_packing": curve_packing.op11_curve_packing,
+    "op12_ranked_search": ranked_search.op12_ranked_search,
     "op13_merkle_manifest": merkle_manifest.op13_merkle_manifest,
 }
 
 ORACLES: dict[str, str] = {
     "op9_exact_dedup": exact_dedup.SQL,
     "op10_line_dedup": line_dedup.SQL,
+    "op12_ranked_search": ranked_search.SQL,
     "op13_merkle_manifest": merkle_manifest.SQL,
 }

@@ -37,6 +37,7 @@ def empty(spark, tmp_path_factory):
     folder = corpus.write_tables(spark, tmp_path_factory.mktemp("empty"), [])
     spark.createDataFrame([], "page_id long, url string, html string").write.parquet(f"{folder}/pages.parquet")
     spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
+    spark.createDataFrame([], "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
     return folder
 
 
