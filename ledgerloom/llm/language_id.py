@@ -99,14 +99,13 @@ def fit(texts: list[str], labels: list[str]) -> Model | None:
 def sample(labelled: DataFrame) -> tuple[list[str], list[str]]:
     """Texts and labels of the bounded sample of (doc_id, text, lang)."""
     h = F.xxhash64("doc_id", F.lit(17))
-    ids = (
+    chosen = (
         labelled.where("lang is not null and doc_id is not null")
         .groupBy("lang", F.pmod(h, F.lit(BUCKETS)).alias("bucket"))
         .agg(F.min(F.struct(F.xxhash64("doc_id", F.lit(18)).alias("order"), "doc_id")).alias("least"))
-        .select("least.doc_id")
-        .distinct()
     )
-    rows = labelled.join(ids, "doc_id", "left_semi").where("text is not null and lang is not null")
+    ids = sorted({r["doc_id"] for r in chosen.select("least.doc_id").collect()})  # at most BUCKETS for each language
+    rows = labelled.where(F.col("doc_id").isin(ids)).where("text is not null and lang is not null")
     # a doc_id may stand on many rows, of which each (language, bucket) takes one, with a letter if there is such
     best = F.min(F.struct((~F.col("text").rlike(r"\p{L}")).alias("bare"), F.xxhash64("doc_id", F.lit(18)).alias("order"), "doc_id", "text"))
     rows = rows.groupBy("lang", F.pmod(h, F.lit(BUCKETS)).alias("bucket")).agg(best.alias("best"))
@@ -153,18 +152,14 @@ def recognised(docs: DataFrame, model: Model | None, least: float = LEAST_SCORE)
     """The rows of `docs`, all columns, whose language is known with a score of `least` or more."""
     sent = shared(docs.sparkSession, model)
 
-    @F.arrow_udf("lang_pred string, score double")
-    def found(text: pa.Array) -> pa.Array:
+    def run(batches):
         own = None if sent.value is None else Model(*sent.value)
-        names, scores = [], [np.zeros(0)]
-        for at in range(0, len(text), BLOCK):  # only a block of texts at a time is turned into strings
-            own_names, own_scores = judge(own, text.slice(at, BLOCK).to_pylist())
-            names += own_names
-            scores.append(own_scores)
-        return pa.StructArray.from_arrays([pa.array(names, pa.string()), pa.array(np.concatenate(scores))], ["lang_pred", "score"])
-
-    rows = docs.select(F.struct(*docs.columns).alias("doc")).withColumn("found", found("doc.text"))
-    return rows.where((F.col("found.lang_pred") != UNKNOWN) & (F.col("found.score") >= least)).select("doc.*")
+        for batch in pieces(batches, "text", BATCH_BYTES):
+            names, scores = judge(own, batch.column("text").to_pylist())
+            known = [name != UNKNOWN and score >= least for name, score in zip(names, scores)]
+            yield batch.filter(pa.array(known, pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
 
 
 def held_out(doc_id: Column) -> Column:
