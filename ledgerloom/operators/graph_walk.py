@@ -1,10 +1,15 @@
 """Set-based graph expansion: one plan for all seeds, one join per hop.
 
 A hop joins the frontier, a table of its own, with the raw edges and folds what
-it meets into (node, next, multiplicity), so edges away from the frontier are
-read but never shuffled for grouping. Frontiers are sets of (seed, node): a hub
-that sits between many nodes is expanded once per seed and not once per path
-through it. Every layer is written once and read from there.
+it meets, so edges away from the frontier are read but never shuffled for
+grouping. Every layer is written once and read from there.
+
+Breadth-first search keeps one row a node with a bit for every seed that reaches
+it; a hop joins nodes with edges and ORs the bits, partly before the shuffle, so
+rows are nodes and not pairs of seed and node.
+
+Trails need to know which edges were used. Their states are (seed, node) with a
+few witnesses, sets of used edges that between them decide every extension.
 """
 
 from __future__ import annotations
@@ -18,8 +23,10 @@ from ledgerloom.functions.hashing import scramble
 from ledgerloom.operators.distribution import line_fit
 from ledgerloom.runtime import stage
 
-# Witness-based trails are exact up to this many hops.
+# Trails of up to this many hops are decided by the least and the largest witness.
 WITNESS_HOPS = 3
+# Longs in a row of seed bits: 1,024 seeds share a row.
+WORDS = 16
 
 
 def ends(edges: DataFrame, direction: str = "OUT") -> DataFrame:
@@ -65,7 +72,7 @@ def trail_frontiers(edges: DataFrame, seeds: DataFrame, hops: int, direction: st
     trail exactly when it takes no folded edge more often than its multiplicity.
     """
     if hops > WITNESS_HOPS:
-        return _enumerated_trails(edges, seeds, hops, direction)
+        return _witnessed_trails(edges, seeds, hops, direction)
     pairs = ends(edges, direction)
     start = seeds.select(F.col(seeds.columns[0]).alias("seed_id")).distinct()
     first = stage(expand(start, "seed_id", pairs, "a", "m1"), "trail-1")
@@ -96,55 +103,136 @@ def trail_frontiers(edges: DataFrame, seeds: DataFrame, hops: int, direction: st
     return result
 
 
-def _enumerated_trails(edges: DataFrame, seeds: DataFrame, hops: int, direction: str) -> list[DataFrame]:
-    """Trails of any length: paths that used the same edges and end alike are merged.
+def _copies(used: Column) -> Column:
+    """The members of a sorted list of used edges, numbered among equal ones from 1."""
+    return F.transform(
+        used,
+        lambda edge, at: F.struct(edge.alias("edge"), F.size(F.filter(F.slice(used, 1, at + 1), lambda other: other == edge)).alias("nth")),
+    )
+
+
+def _avoids(used: Column, barred: Column) -> Column:
+    """Whether a list of used edges has fewer than `nth` uses of each barred edge."""
+    return F.forall(barred, lambda bar: F.size(F.filter(used, lambda edge: edge == bar["edge"])) < bar["nth"])
+
 
-    The number of states grows with the number of edge sets, so long trails are
-    costly on dense graphs. Node ids may be of any type.
+def witnesses(states: DataFrame, steps: int) -> DataFrame:
+    """Some of the used-edge lists of each (seed_id, node) that decide whether `steps` more edges can follow.
+
+    The least list is taken. A continuation that it forbids uses one of its
+    edges too often, so for each of its edges the least list without it (without
+    its second use, and so on) is taken too, for one step less, and so forth.
+    Lists of p edges give at most 1 + p + ... + p^steps witnesses, however many
+    ways lead to the node; every one is a minimum, combined before the shuffle.
     """
+    key = ["seed_id", "node"]
+    states = stage(states, "trail-states")
+    first = states.groupBy(*key).agg(F.min("used").alias("used"), F.max("used").alias("last"))
+    first = stage(first, "trail-witnesses")
+    several = first.filter("used <> last")
+    rest = states.join(several.select(*key), key, "left_semi")
+    barred = F.array().cast("array<struct<edge:" + states.schema["used"].dataType.elementType.simpleString() + ",nth:int>>")
+    level = several.select(*key, "used", barred.alias("barred"))
+    found = first.select(*key, "used")
+    for _ in range(steps):
+        bars = level.select(*key, "barred", F.explode(_copies(F.col("used"))).alias("bar"))
+        bars = bars.select(*key, F.array_sort(F.array_append("barred", F.col("bar"))).alias("barred")).distinct()
+        level = rest.join(bars, key).filter(_avoids(F.col("used"), F.col("barred")))
+        level = stage(level.groupBy(*key, "barred").agg(F.min("used").alias("used")), "trail-witnesses")
+        found = found.unionByName(level.select(*key, "used"))
+    return found.distinct()
+
+
+def _witnessed_trails(edges: DataFrame, seeds: DataFrame, hops: int, direction: str) -> list[DataFrame]:
+    """Trails of any length by witnesses. Node ids may be of any type."""
     pairs = ends(edges, direction)
-    edge = lambda: F.struct(F.least("node", "v").alias("x"), F.greatest("node", "v").alias("y")) if direction == "BOTH" else F.struct(F.col("node").alias("x"), F.col("v").alias("y"))
+    names = ("node", "v")
+    if direction == "BOTH":  # an edge is the same one on the way back
+        edge = F.struct(F.least(*names).alias("x"), F.greatest(*names).alias("y"))
+    else:
+        edge = F.struct(F.col("node").alias("x"), F.col("v").alias("y"))
+    seed = F.col(seeds.columns[0])
     kind = seeds.schema[0].dataType.simpleString()
-    states = seeds.select(
-        F.col(seeds.columns[0]).alias("seed_id"),
-        F.col(seeds.columns[0]).alias("node"),
-        F.array().cast(f"array<struct<x:{kind},y:{kind}>>").alias("used"),
-    )
+    used = F.array().cast(f"array<struct<x:{kind},y:{kind}>>")
+    states = seeds.select(seed.alias("seed_id"), seed.alias("node"), used.alias("used")).distinct()
     result = []
-    for _ in range(hops):
+    for hop in range(1, hops + 1):
         here = states.select("node").distinct()
         step = pairs.join(here, F.col("u") == F.col("node"), "left_semi").groupBy("u", "v").agg(F.count("*").alias("m"))
-        walked = states.join(step, states["node"] == step["u"]).withColumn("edge", edge())
-        times = F.size(F.filter("used", lambda old: old == F.col("edge")))
-        states = stage(
-            walked.filter(times < F.col("m"))
-            .select(
-                "seed_id",
-                F.col("v").alias("node"),
-                F.array_sort(F.array_append("used", F.col("edge"))).alias("used"),
-            )
-            .distinct(),
-            "trail-states",
-        )
+        walked = states.join(step, F.col("node") == F.col("u")).withColumn("edge", edge)
+        open_ = walked.filter(F.size(F.filter("used", lambda old: old == F.col("edge"))) < F.col("m"))
+        if hop == hops:
+            states = stage(open_.select("seed_id", F.col("v").alias("node")).distinct(), "trail-states")
+        else:
+            grown = open_.select("seed_id", F.col("v").alias("node"), F.array_sort(F.array_append("used", F.col("edge"))).alias("used"))
+            states = stage(witnesses(grown.distinct(), hops - hop), "trail-layer")
         result.append(states.select("seed_id", "node").distinct())
     return result
 
 
+def _words(value) -> list[Column]:
+    return [value(k).alias(f"w{k}") for k in range(WORDS)]
+
+
+def seed_bits(seeds: DataFrame) -> DataFrame:
+    """seed_id with block and slot: every distinct seed has one of the 64 * WORDS bits of a row of its block."""
+    start = seeds.select(F.col(seeds.columns[0]).alias("seed_id")).filter("seed_id is not null").distinct()
+    numbered = stage(start.coalesce(8).withColumn("at", F.monotonically_increasing_id()), "bfs-seeds")
+    bits = 64 * WORDS
+    return numbered.select("seed_id", F.floor(F.col("at") / bits).alias("block"), (F.col("at") % bits).cast("int").alias("slot"))
+
+
+def bit_layers(edges: DataFrame, slots: DataFrame, hops: int, direction: str = "OUT") -> list[DataFrame]:
+    """For each hop block, node and w0, w1, ...: the bits of the seeds that first reach the node by so many hops."""
+    pairs = ends(edges, direction)
+    bit = F.expr("shiftleft(1L, slot % 64)")
+    layer = slots.select("block", F.col("seed_id").alias("node"), *_words(lambda k: F.when(F.floor(F.col("slot") / 64) == k, bit).otherwise(F.lit(0).cast("long"))))
+    layers = [layer]
+    for _ in range(hops):
+        met = layers[-1].join(pairs, F.col("node") == F.col("u")).groupBy("block", "v").agg(*_words(lambda k: F.bit_or(f"w{k}")))
+        visited = reduce(DataFrame.unionByName, layers).groupBy("block", "node").agg(*_words(lambda k: F.bit_or(f"w{k}")))
+        visited = visited.select(F.col("block").alias("b"), F.col("node").alias("n"), *[F.col(f"w{k}").alias(f"old{k}") for k in range(WORDS)])
+        fresh = met.join(visited, (F.col("block") == F.col("b")) & (F.col("v") == F.col("n")), "left").select(
+            "block", F.col("v").alias("node"), *_words(lambda k: F.col(f"w{k}").bitwiseAND(F.bitwise_not(F.coalesce(f"old{k}", F.lit(0).cast("long")))))
+        )
+        some = reduce(Column.bitwiseOR, [F.col(f"w{k}") for k in range(WORDS)]) != 0
+        layers.append(stage(fresh.filter(some), "bfs-layer"))
+    return layers[1:]
+
+
+def reached(layer: DataFrame) -> DataFrame:
+    """block, slot, node: a row for every bit of a layer."""
+    words = layer.select("block", "node", F.posexplode(F.array(*[F.col(f"w{k}") for k in range(WORDS)])).alias("k", "word")).filter("word <> 0")
+    places = F.filter(F.sequence(F.lit(0), F.lit(63)), lambda i: F.getbit(F.col("word"), i) == 1)
+    return words.select("block", "node", "k", F.explode(places).alias("i")).select("block", (F.col("k") * 64 + F.col("i")).alias("slot"), "node")
+
+
 def bfs_frontiers(edges: DataFrame, seeds: DataFrame, hops: int, direction: str = "OUT") -> DataFrame:
-    """(seed_id, node, hop): nodes by shortest distance 1..hops from each seed.
+    """(seed_id, node, hop): nodes by shortest distance 1..hops from each seed."""
+    slots = seed_bits(seeds)
+    layers = [reached(layer).withColumn("hop", F.lit(hop)) for hop, layer in enumerate(bit_layers(edges, slots, hops, direction), start=1)]
+    return reduce(DataFrame.unionByName, layers).join(slots, ["block", "slot"]).select("seed_id", "node", "hop")
 
-    Only nodes that were not reached before are expanded.
+
+def bfs_sizes(edges: DataFrame, seeds: DataFrame, hops: int, direction: str = "OUT") -> DataFrame:
+    """(seed_id, hop, frontier_size) for every seed and hop, 0 included.
+
+    Bits are counted where the layer is read; a task sends on one row a seed.
     """
-    pairs = ends(edges, direction)
-    start = seeds.select(F.col(seeds.columns[0]).alias("seed_id")).distinct()
-    layer = start.withColumn("node", F.col("seed_id"))
-    visited, layers = layer, []
-    for hop in range(1, hops + 1):
-        met = layer.join(pairs, F.col("node") == F.col("u")).select("seed_id", F.col("v").alias("node")).distinct()
-        layer = stage(met.join(visited, ["seed_id", "node"], "left_anti"), "bfs-layer")
-        visited = visited.union(layer)
-        layers.append(layer.withColumn("hop", F.lit(hop)))
-    return reduce(DataFrame.unionByName, layers)
+    slots = seed_bits(seeds)
+    counts = [
+        reached(layer).groupBy("block", "slot").agg(F.count("*").alias("frontier_size")).withColumn("hop", F.lit(hop))
+        for hop, layer in enumerate(bit_layers(edges, slots, hops, direction), start=1)
+    ]
+    every = slots.withColumn("hop", F.explode(F.sequence(F.lit(1), F.lit(hops))))
+    found = every.join(reduce(DataFrame.unionByName, counts), ["block", "slot", "hop"], "left")
+    return found.select("seed_id", "hop", F.coalesce("frontier_size", F.lit(0)).alias("frontier_size"))
+
+
+def among(edges: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Edges between the given nodes, such as those of a label."""
+    own = nodes.select(F.col(nodes.columns[0]).alias("own")).distinct()
+    return edges.join(own, F.col("src") == F.col("own"), "left_semi").join(own, F.col("dst") == F.col("own"), "left_semi")
 
 
 def out_degree(edges: DataFrame, seeds: DataFrame) -> DataFrame:

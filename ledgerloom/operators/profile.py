@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -186,6 +187,41 @@ def amount_quantiles(df: DataFrame, column: str, probs: Sequence[float]) -> Data
     )
 
 
+def _sketch_size(error: float) -> int:
+    """Size of a KLL sketch whose ranks are off by no more than `error` with 99 % confidence, by its published fit."""
+    return min(65535, max(8, math.ceil((2.296 / error) ** (1 / 0.9021))))
+
+
+def quantile_sketches(df: DataFrame, value: str, keys: Sequence[str], error: float = 0.01) -> DataFrame:
+    """keys, sketch: one KLL sketch of the non-null values per key, to be stored and merged on demand.
+
+    A sketch has a bounded size, so a key with any number of rows sends on one
+    small row a task, and later rows of other keys never touch it.
+    """
+    data = df.select(*keys, F.col(value).cast("double").alias("__v")).filter("__v is not null")
+    return data.groupBy(*keys).agg(F.kll_sketch_agg_double("__v", _sketch_size(error)).alias("sketch"))
+
+
+def sketched_quantiles(sketches: DataFrame, probs: Sequence[float], keys: Sequence[str] = ()) -> DataFrame:
+    """keys, prob, quantile, n from the merged sketches of each key: values that occur, near the asked rank."""
+    merged = sketches.groupBy(*keys).agg(F.kll_merge_agg_double("sketch").alias("sketch"))
+    merged = merged.withColumn("n", F.kll_sketch_get_n_double("sketch")).filter("n > 0")
+    # the rank has to be a constant of the plan
+    found = [F.struct(F.lit(float(p)).alias("prob"), F.kll_sketch_get_quantile_double("sketch", F.lit(float(p))).alias("quantile")) for p in probs]
+    return merged.select(*keys, F.inline(F.array(*found)), "n")
+
+
+def rank_gaps(df: DataFrame, value: str, quantiles: DataFrame) -> DataFrame:
+    """prob, n, gap: how far each quantile's range of ranks is from the asked one, 0 if it covers it."""
+    asked = quantiles.agg(F.collect_list(F.struct("prob", "quantile"))).scalar()  # one entry a probability
+    data = df.select(F.col(value).cast("double").alias("v")).filter("v is not null").withColumn("q", F.explode(asked))
+    ranks = data.groupBy("q.prob").agg(
+        F.count("*").alias("n"), F.count_if(F.col("v") < F.col("q.quantile")).alias("below"), F.count_if(F.col("v") <= F.col("q.quantile")).alias("upto")
+    )
+    n = F.col("n")
+    return ranks.select("prob", "n", F.greatest(F.lit(0.0), F.col("below") / n - F.col("prob"), F.col("prob") - F.col("upto") / n).alias("gap"))
+
+
 def size_profile(df: DataFrame, target_bucket_mb: int = 128) -> DataFrame:
     """Uncompressed bytes per row from mean text lengths and fixed widths, and bucket advice."""
     width = F.lit(float(ROW_OVERHEAD))

@@ -12,6 +12,7 @@ from ledgerloom.operators.timeseries import rounded
 from ledgerloom.plans.fixtures import with_transfers
 from ledgerloom.plans.ledger_queries import transfers
 from ledgerloom.plans.registry import query
+from ledgerloom.runtime import stage
 from ledgerloom.sources.tables import Tables
 
 CATEGORIES = ["payment_currency", "received_currency", "payment_type", "is_laundering", "laundering_type"]
@@ -209,6 +210,23 @@ def _amount_quantiles(spark, folder):
     return rounded(profile.amount_quantiles(sent, "amount", _PROBS), 6, "log_amount")
 
 
+_SKETCH_ERROR = 0.01
+
+
+@query(
+    "amount_quantile_sketch",
+    # the sketch may choose any value whose rank is near enough, so the rank is stated and not the value
+    with_transfers(" UNION ALL ".join(f"SELECT CAST({p} AS DOUBLE) AS prob, count(*) AS n, TRUE AS within_error FROM t" for p in _PROBS)),
+)
+def _amount_quantile_sketch(spark, folder):
+    """Daily sketches, stored and merged; each quantile's rank is then counted over all rows."""
+    sent = transfers(spark, folder, currencies=False).withColumn("day", F.to_date("date_time"))
+    daily = stage(profile.quantile_sketches(sent, "amount", ["day"], _SKETCH_ERROR), "amount-sketches")
+    quantiles = stage(profile.sketched_quantiles(daily, _PROBS), "amount-quantiles")
+    gaps = profile.rank_gaps(sent, "amount", quantiles)
+    return gaps.select("prob", "n", (F.col("gap") <= _SKETCH_ERROR).alias("within_error"))
+
+
 @query(
     "size_profile",
     """SELECT count(*) AS rows, round(avg(length(o_orderstatus)) + avg(length(o_orderpriority)) + 8 + 8 + 8 + 12 + 16, 6) AS bytes_per_row,

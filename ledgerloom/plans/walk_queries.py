@@ -70,13 +70,13 @@ def _bfs(hop: int) -> None:
     @query(f"bfs_frontier_h{hop}", with_transfers(f", {SEED_SQL}, {_REACH} {_zero_kept(counted)}"))
     def run(spark, folder):
         edges, seeds = _graph(spark, folder)
-        reached = walk.bfs_frontiers(edges, seeds, hop).filter(F.col("hop") == hop)
-        return walk.frontier_sizes(reached, seeds)
+        return walk.bfs_sizes(edges, seeds, hop).filter(F.col("hop") == hop).drop("hop")
 
 
 for _hop in range(1, HOPS + 1):
     _trail(_hop)
     _bfs(_hop)
+_trail(HOPS + 1)
 
 
 def _bfs_sql(hop: int, direction: str, edges: str = "e") -> str:
@@ -95,7 +95,7 @@ def _bfs_along(name: str, direction: str) -> None:
     @query(name, with_transfers(f", {SEED_SQL}, {_bfs_sql(2, direction)}"))
     def run(spark, folder):
         edges, seeds = _graph(spark, folder)
-        return walk.frontier_sizes(walk.bfs_frontiers(edges, seeds, 2, direction).filter("hop = 2"), seeds)
+        return walk.bfs_sizes(edges, seeds, 2, direction).filter("hop = 2").drop("hop")
 
 
 _bfs_along("bfs_frontier_in_h2", "IN")
@@ -114,7 +114,20 @@ _KINDS = ["1-URGENT", "2-HIGH"]
 def _bfs_by_type(spark, folder):
     edges = build_edges(transfers(spark, folder, currencies=False))
     _, seeds = _graph(spark, folder)
-    return walk.frontier_sizes(walk.bfs_frontiers(walk.of_type(edges, "payment_type", _KINDS), seeds, 2).filter("hop = 2"), seeds)
+    return walk.bfs_sizes(walk.of_type(edges, "payment_type", _KINDS), seeds, 2).filter("hop = 2").drop("hop")
+
+
+@query(
+    "bfs_frontier_by_label_h2",
+    with_transfers(
+        f""", {SEED_SQL}, k AS (SELECT src, dst FROM e WHERE src IN (SELECT c_custkey FROM customer WHERE c_mktsegment <> 'MACHINERY')
+        AND dst IN (SELECT c_custkey FROM customer WHERE c_mktsegment <> 'MACHINERY')), {_bfs_sql(2, "OUT", "k")}"""
+    ),
+)
+def _bfs_by_label(spark, folder):
+    edges, seeds = _graph(spark, folder)
+    labelled = Tables(spark, folder).customer.filter("c_mktsegment <> 'MACHINERY'").select("c_custkey")
+    return walk.bfs_sizes(walk.among(edges, labelled), seeds, 2).filter("hop = 2").drop("hop")
 
 
 @query(

@@ -36,7 +36,16 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     """
     path = fresh_path(df.sparkSession, label)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    staged = df.sparkSession.read.schema(df.schema).parquet(path)
+    staged.staged_at = path
+    return staged
+
+
+def unstage(*tables: DataFrame) -> None:
+    """Delete tables made by `stage` that nothing reads any more."""
+    for table in tables:
+        path = table.sparkSession._jvm.org.apache.hadoop.fs.Path(table.staged_at)
+        path.getFileSystem(table.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
 
 
 def spread(df: DataFrame, *columns: str) -> DataFrame:

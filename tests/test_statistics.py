@@ -1,6 +1,9 @@
 """Association, densities, profiles and samples on hand-made data."""
 
+import bisect
 import math
+import random
+import statistics
 
 import pytest
 from pyspark.sql import functions as F
@@ -211,3 +214,56 @@ def test_series_sums_agree_across_granularities(spark, folder):
 
     totals = _series(spark, folder).groupBy("granularity").agg(F.round(F.sum("net"), 3).alias("t")).collect()
     assert len(totals) == 9 and len({r["t"] for r in totals}) == 1
+
+
+def test_binned_densities_equal_the_kernel_sums(spark):
+    """Heavy tails, ties, one far outlier and a class without spread."""
+    chance = random.Random(2)
+    rows = [("a", math.exp(chance.gauss(3, 1.5))) for _ in range(700)] + [("a", 1e9), ("a", None)]
+    rows += [("b", float(chance.randrange(20))) for _ in range(300)] + [("c", 7.0)] * 3
+    df = spark.createDataFrame(rows, "k string, v double")
+    got = {(r["k"], r["i"]): (r["x"], r["density"]) for r in dist.kde(df, "v", ["k"], points=40, tails=(0.01, 0.99)).collect()}
+    assert len(got) == 120
+    for k in "abc":
+        values = [v for key, v in rows if key == k and v is not None]
+        sd = statistics.stdev(values)
+        h = 1.06 * sd * len(values) ** -0.2 if sd else 1.0
+        for i in range(40):
+            x, density = got[k, i]
+            want = sum(math.exp(-0.5 * ((x - v) / h) ** 2) for v in values) / (len(values) * h * math.sqrt(2 * math.pi))
+            assert density == pytest.approx(want, rel=1e-9, abs=1e-13 / h)
+
+
+def test_binned_joint_density_equals_the_kernel_sums(spark):
+    chance = random.Random(3)
+    rows = [("a", chance.gauss(0, 3), math.exp(chance.gauss(0, 1))) for _ in range(400)]
+    df = spark.createDataFrame(rows, "k string, x double, y double")
+    xs, ys = [r[1] for r in rows], [r[2] for r in rows]
+    hx, hy = (statistics.stdev(v) * len(rows) ** (-1 / 6) for v in (xs, ys))
+    for r in dist.kde_2d(df, "x", "y", ["k"], points=6).collect():
+        px = min(xs) + (max(xs) - min(xs)) * r["i"] / 5
+        py = min(ys) + (max(ys) - min(ys)) * r["j"] / 5
+        want = sum(math.exp(-0.5 * (((px - x) / hx) ** 2 + ((py - y) / hy) ** 2)) for x, y in zip(xs, ys))
+        assert r["density"] == pytest.approx(want / (len(rows) * hx * hy * 2 * math.pi), rel=1e-8, abs=1e-13)
+
+
+@pytest.mark.parametrize("error", [0.05, 0.005])
+def test_sketched_quantiles_keep_their_rank_error(spark, error):
+    chance = random.Random(6)
+    rows = [(i % 9, math.exp(chance.gauss(0, 3))) for i in range(30_000)] + [(3, 5.0)] * 9_000 + [(4, None)] * 10
+    df = spark.createDataFrame(rows, "day int, v double").repartition(7)
+    sketches = profile.quantile_sketches(df, "v", ["day"], error)
+    assert sketches.count() == 9
+    values = sorted(v for _, v in rows if v is not None)
+    probs = [0.0, 0.01, 0.25, 0.5, 0.75, 0.99, 1.0]
+    for keys, own in (([], values), (["day"], None)):
+        for r in profile.sketched_quantiles(sketches, probs, keys).collect():
+            mine = own or sorted(v for d, v in rows if d == r["day"] and v is not None)
+            below, upto = bisect.bisect_left(mine, r["quantile"]), bisect.bisect_right(mine, r["quantile"])
+            assert r["n"] == len(mine)
+            assert below / len(mine) - error <= r["prob"] <= upto / len(mine) + error
+
+
+def test_sketches_of_nothing(spark):
+    df = spark.createDataFrame([(1, None)], "day int, v double")
+    assert profile.sketched_quantiles(profile.quantile_sketches(df, "v", ["day"]), [0.5]).collect() == []

@@ -1,6 +1,7 @@
 """Graph expansion against plain Python enumeration on small awkward graphs."""
 
 import itertools
+import random
 
 import pytest
 
@@ -16,6 +17,7 @@ GRAPHS = {
     "triple edge": [(1, 2)] * 3,
     "hub": [(i, 0) for i in range(1, 7)] + [(0, i) for i in range(1, 7)] + [(0, 0)],
     "triangle": [(1, 2), (2, 3), (3, 1), (1, 3)],
+    "ladder": [(1, 2), (2, 1), (2, 3), (3, 2), (3, 1), (1, 3), (1, 2)],
 }
 
 
@@ -53,14 +55,28 @@ def test_trails(spark, name, direction):
         assert got[hop] == want, (name, direction, hop + 1)
 
 
-@pytest.mark.parametrize("direction", ["OUT", "BOTH"])
-def test_longer_trails(spark, direction):
-    pairs = GRAPHS["parallel and loops"]
+@pytest.mark.parametrize("direction, hops", [("OUT", 5), ("IN", 4), ("BOTH", 4)])
+@pytest.mark.parametrize("name", ["parallel and loops", "ping pong", "three loops", "triangle", "ladder"])
+def test_longer_trails(spark, name, direction, hops):
+    pairs = GRAPHS[name]
     edges, seeds, nodes = frames(spark, pairs)
-    layers = walk.trail_frontiers(edges, seeds, 4, direction)
+    layers = walk.trail_frontiers(edges, seeds, hops, direction)
+    want = {s: brute_trails(pairs, s, hops, direction) for s in nodes}
     for hop, layer in enumerate(layers):
-        want = {(s, n) for s in nodes for n in brute_trails(pairs, s, 4, direction)[hop]}
-        assert {tuple(r) for r in layer.collect()} == want
+        assert {tuple(r) for r in layer.collect()} == {(s, n) for s in nodes for n in want[s][hop]}
+
+
+def test_witnesses_are_few_and_decide_every_continuation(spark):
+    chance = random.Random(4)
+    rows = [(1, 2, sorted((chance.randrange(6), 0) for _ in range(3))) for _ in range(60)]
+    states = spark.createDataFrame(rows, "seed_id long, node long, used array<struct<x:int,y:int>>")
+    for steps in (1, 2):
+        got = [[tuple(e) for e in r["used"]] for r in walk.witnesses(states.distinct(), steps).collect()]
+        assert len(got) <= sum(3**k for k in range(steps + 1))
+        for more in itertools.product(range(6), repeat=steps):
+            for times in (1, 2, 3):  # as many parallel edges everywhere
+                free = lambda used: all(sum(x == e for x, _ in used) + more.count(e) <= times for e in more)
+                assert any(map(free, got)) == any(free(r[2]) for r in rows)
 
 
 @pytest.mark.parametrize("direction", ["OUT", "IN", "BOTH"])
@@ -84,6 +100,26 @@ def test_shortest_distances(spark, direction):
     assert got == want
 
 
+def test_bits_of_many_blocks(spark, monkeypatch):
+    monkeypatch.setattr(walk, "WORDS", 1)
+    pairs = [(i, (i * 7 + 3) % 150) for i in range(150)] + [(i, (i + 1) % 150) for i in range(150)]
+    edges, seeds, nodes = frames(spark, pairs)
+    sizes = {(r["seed_id"], r["hop"]): r["frontier_size"] for r in walk.bfs_sizes(edges, seeds, 3).collect()}
+    after = {n: {b for a, b in pairs if a == n} for n in nodes}
+    for seed in nodes:
+        seen, layer = {seed}, {seed}
+        for hop in (1, 2, 3):
+            layer = set().union(*(after[n] for n in layer)) - seen
+            seen |= layer
+            assert sizes[seed, hop] == len(layer)
+
+
+def test_edges_among_nodes(spark):
+    edges, _, _ = frames(spark, [(1, 2), (2, 3), (3, 1), (2, 2)])
+    kept = walk.among(edges, spark.createDataFrame([(1,), (2,), (2,)], "n long")).collect()
+    assert {(r["src"], r["dst"]) for r in kept} == {(1, 2), (2, 2)}
+
+
 def test_explosion_keeps_zero_frontiers(spark):
     edges, seeds, _ = frames(spark, GRAPHS["single edge"])
     rows = {(r["seed_id"], r["hop"]): (r["frontier_size"], r["deg_out_seed"]) for r in walk.neighbor_explosion(edges, seeds).collect()}
