@@ -16,11 +16,14 @@ an empty result; other columns are ignored.
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import zlib
 from bisect import bisect_right
 from collections import Counter
+from functools import lru_cache
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -33,20 +36,58 @@ from ledgerloom.llm.common import as_bytes, documents, pieces, stage, texts
 
 CAPACITY = 4096
 END_ID = 1
-CACHE_WORDS = 600_000  # words whose ids a worker remembers from task to task
 BATCH_BYTES = 4 << 20
+ODD_WORDS = 1 << 15  # words beyond the plain alphabet whose ids a worker remembers, the latest used
 
+SPACE = " \t\n\r\x0b\x0c"
+# A plain text has ASCII without controls and apostrophes, and the letters of Latin-1.
+ODD = re.compile(rf"[^{SPACE}\x21-\x26\x28-\x7eÀ-ÖØ-öø-ÿ]")
+# In such a text the tokenizer cuts at white space and around each digit and each run of marks.
+MARKS = re.compile(r"[!-&(-@\[-`{-~]+")
+DIGITS = re.compile(r"([0-9]|[^0-9]+)")
+SINGLE = {chr(c): f" {chr(c)} " for c in range(33, 127)}
+WORD_END = "</w>"
 
-# The tokenizer cuts between a letter and a lone full stop or comma at a word's end.
-STOP = re.compile(rb"(?<=[a-z])([.,])(?=[\x20\x09-\x0d]|\Z)")
+
+def is_odd(text: str) -> bool:
+    """Whether only the tokenizer itself can read the text: other letters, or perhaps special tokens, whose case counts."""
+    return "<|" in text or ODD.search(text) is not None
+
+
+def byte_symbols() -> dict[str, int]:
+    """The characters by which byte-level vocabularies write the 256 bytes."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = [b for b in range(256) if b not in shown]
+    return {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(hidden)}
+
+
+def end_marked(path: str) -> tuple[dict[bytes, int], np.ndarray]:
+    """The vocabulary as ranks of byte strings whose last space stands for the word's end, and the id of each rank.
+
+    The end is a symbol of its own here, so joining it to the byte before comes
+    first; then the merges follow in their order.
+    """
+    with open(path, encoding="utf-8") as lines:
+        vocabulary = json.load(lines)["model"]["vocab"]
+    symbols, tokens = byte_symbols(), []
+    for token, i in vocabulary.items():
+        stem = token.removesuffix(WORD_END)
+        text = bytes(symbols[c] for c in stem)
+        tokens.append((stem != token and len(text) == 1, i, text + b" " * (stem != token)))
+    # single bytes have the lowest ids; the bytes that end a word go before all longer tokens
+    singles = [(i, t) for ends, i, t in tokens if len(t) == 1]
+    last = [(i, t) for ends, i, t in tokens if ends]
+    merges = [(i, t) for ends, i, t in tokens if len(t) > 1 and not ends]
+    ordered = sorted(singles) + sorted(last) + sorted(merges)
+    return {t: rank for rank, (_, t) in enumerate(ordered)}, np.array([i for i, _ in ordered], "<u4")
 
 
 class WordIds:
-    """Little-endian ids of whole texts.
+    """Little-endian ids of whole texts by a lower-case vocabulary with word ends.
 
-    The tokenizer lower-cases and drops white space before anything else looks
-    at it, so a text has the ids of its words in turn, and the ids of a word can
-    be remembered. Texts that may hold special tokens, whose case counts, keep it.
+    Plain texts are cut into words, each followed by a space, and go through the
+    byte merges in one call. Other words go to the tokenizer itself; it drops
+    white space before anything else looks at it, so words stand for themselves.
     """
 
     of_path: dict[str, WordIds] = {}
@@ -59,20 +100,33 @@ class WordIds:
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        import tiktoken
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[bytes, bytes] = {}
+        tokenizer = Tokenizer.from_file(path)
+        ranks, self.ids = end_marked(path)
+        self.encoding = tiktoken.Encoding("words", pat_str=r"[^ ]+ ", mergeable_ranks=ranks, special_tokens={})
+        self.odd = lru_cache(ODD_WORDS)(lambda word: np.array(tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes())
+
+    def plain(self, text: str) -> bytes:
+        text = MARKS.sub(lambda m: SINGLE.get(m[0]) or DIGITS.sub(r" \1 ", m[0]), text.lower())
+        for c in SPACE[1:]:
+            text = text.replace(c, " ")
+        return self.ids[self.encoding.encode_ordinary(text + " ")].tobytes()
+
+    def whole(self, text: str) -> bytes:
+        if not is_odd(text):
+            return self.plain(text)
+        out = []
+        for odd, words in groupby(text.translate(SPACES).split(" "), is_odd):
+            out += map(self.odd, words) if odd else [self.plain(" ".join(words))]
+        return b"".join(out)
 
     def __call__(self, texts: list[bytes]) -> list[bytes]:
-        split = [STOP.sub(rb" \1", text if b"<|" in text else text.lower()).split() for text in texts]
-        new = [w for w in set().union(*split) if w not in self.known]
-        if len(self.known) + len(new) > CACHE_WORDS:
-            self.known = {}
-            new = list(set().union(*split))
-        found = self.tokenizer.encode_batch_fast([w.decode() for w in new], add_special_tokens=False)
-        self.known.update(zip(new, (np.array(e.ids, "<u4").tobytes() for e in found)))
-        return [b"".join(map(self.known.__getitem__, words)) for words in split]
+        return [self.whole(text.decode()) for text in texts]
+
+
+SPACES = str.maketrans(SPACE, " " * len(SPACE))
 
 
 def token_pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = END_ID, with_ids: bool = False):

@@ -199,3 +199,18 @@ def test_components(spark):
             parent[max(a, b)] = min(a, b)
     got = {r["node"]: r["component"] for r in components(spark.createDataFrame(edges, "u long, v long")).collect()}
     assert got == {x: root(x) for x in parent}
+
+
+def test_word_ids_are_those_of_the_tokenizer():
+    from tokenizers import Tokenizer
+
+    path, chance = packing.vocabulary(), random.Random(1)
+    tokenizer, encode = Tokenizer.from_file(path), packing.WordIds(path)
+    alphabet = [chr(c) for c in range(0x180)] + list("abcdeéßüÉÀ ...'\"!?12 \n\t'sdtm") * 8 + ["<|endoftext|>", "<|", "ſ", "你", "́"]
+    texts = ["".join(chance.choice(alphabet) for _ in range(chance.randrange(40))) for _ in range(4000)]
+    letters = "etaoinshrdlucmfwypvbgkjqxzéßüñèóçäö"
+    texts += ["".join(chance.choice(letters) for _ in range(chance.randrange(1, 16))) for _ in range(20000)]
+    texts += [word.removesuffix("</w>") for word in tokenizer.get_vocab()]
+    got = encode([t.encode() for t in texts])
+    for text, own, want in zip(texts, got, tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
+        assert np.frombuffer(own, "<u4").tolist() == want.ids, repr(text)
