@@ -169,16 +169,20 @@ def test_registers_do_not_depend_on_the_batch():
     assert (whole[-1] == 0).all()
 
 
-def test_equal_windows_select_equal_lines():
+def test_line_windows_select_what_they_hold():
     chance = random.Random(3)
-    lines = [str(chance.randrange(6)).encode() for _ in range(400)]
+    lines = [" ".join(chance.choice("abc") for _ in range(chance.randint(1, 4))).encode() for _ in range(600)]
     seen = {}
-    for fingerprint, start, hashes in line_dedup.winnowed(lines, 3):
-        for i, h in enumerate(hashes.tolist()):
-            window = tuple(lines[start + i : start + i + 3])
-            assert seen.setdefault(window, (h, fingerprint)) == (h, fingerprint)
+    for fingerprint, windows in line_dedup.winnowed(lines, 5):
+        for w in windows:
+            body = lines[w["start"] : w["stop"]]
+            assert len(b" ".join(body).split()) >= 5 > len(b" ".join(body[:-1]).split())
+            assert len(b" ".join(lines[w["stop"] :][: len(w["tail"])]).split()) < 5
+            assert seen.setdefault(tuple(body), (w["hash"], fingerprint)) == (w["hash"], fingerprint)
     assert len({h for h, _ in seen.values()}) == len(seen) and len(seen) > 100
-    assert line_dedup.winnowed([b"a", b"b"], 3) == []
+    (fingerprint, windows), = line_dedup.winnowed([b"a", b"b"], 5)
+    assert [(w["start"], w["stop"], w["tail"]) for w in windows] == [(0, 2, [])]
+    assert line_dedup.winnowed([], 5) == []
 
 
 def test_components(spark):
