@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.operators.ordered import by_key, exact_quantiles, join_null_safe, quantile_grid, running
+from ledgerloom.runtime import stage
 
 
 def _silverman(n: Column, sd: Column) -> Column:
@@ -244,6 +245,7 @@ def class_histogram(df: DataFrame, value: str, key: str, bins: int = 40) -> Data
 def ecdf(df: DataFrame, value: str) -> DataFrame:
     """Share of rows at or below each distinct value."""
     counts = df.select(F.col(value).alias("value")).filter("value is not null").groupBy("value").agg(F.count("*").alias("n"))
+    counts = stage(counts, "ecdf-counts")
     upto = running(counts, [], ["value"], sums={"__upto": "n"})
     return upto.select("value", "n", (F.col("__upto") / counts.agg(F.sum("n")).scalar()).alias("ecdf"))
 

@@ -1,10 +1,11 @@
 """Running totals, ranks and exact quantiles that stay whole under key skew.
 
-The order is cut by value: a timestamp by its hour, a number into `CUTS` ranges
-between its extremes, a text by its first two characters. A window runs inside
-each (key, cut), and the totals of the earlier cuts of a key, one row each, are
-added. So the rows of a hot key are dealt over its cuts, whatever their number,
-and the same rows give the same doubles however they are partitioned.
+The order is cut by value: a timestamp by its hour, a number or text at 255
+splitters of about equal depth, so that far values do not gather the others in
+one cut. A window runs inside each (key, cut), and the totals of the earlier
+cuts of a key, one row each, are added. So the rows of a hot key are dealt over
+its cuts, whatever their number, and the same rows give the same doubles however
+they are partitioned. Equal values stay together.
 """
 
 from __future__ import annotations
@@ -15,23 +16,53 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-CUTS = 4096
+from ledgerloom.runtime import stage
+
+STEP = 16  # cuts in all: its square
+SAMPLE = 1 << 15  # distinct values that splitters are taken from; up to twice as many are drawn
 _FEW = (T.BooleanType, T.ByteType)
 
 
+def _number_of(df: DataFrame, column: str) -> Column:
+    """A number that never falls while the column rises: of a text, its first seven bytes."""
+    if isinstance(df.schema[column].dataType, T.StringType):
+        leading = F.rpad(F.substring(F.hex(F.col(column).cast("binary")), 1, 14), 14, "0")
+        return F.conv(leading, 16, 10).cast("long").cast("double")
+    return F.col(column).cast("double")
+
+
+def _below(sorted_values: Column, number: Column) -> Column:
+    """How many of the values are below a number."""
+    return F.array_position(F.sort_array(F.array_append(sorted_values, number)), number) - 1
+
+
+def _depth_cut(df: DataFrame, number: Column) -> Column:
+    """How many of the splitters are below a number, looked up in two steps.
+
+    The splitters cut a sample of the distinct values evenly. The hash of a value
+    decides whether it is in the sample, so the cuts, and with them the order in
+    which doubles are added, do not depend on the partitioning. Sample and
+    splitters are subqueries of the plan, not jobs of their own.
+    """
+    values = df.select(number.alias("v")).filter("v is not null")
+    one_in = values.agg(F.greatest(F.lit(1).cast("long"), F.floor(F.approx_count_distinct("v") / SAMPLE))).scalar()
+    sample = values.filter(F.pmod(F.xxhash64("v"), one_in) == 0).agg(F.array_sort(F.collect_set("v")).alias("v"))
+    split = lambda i: F.get("v", F.floor(i * F.size("v") / (STEP * STEP)).cast("int"))
+    part = lambda i: F.transform(F.sequence(F.lit(1), F.lit(STEP - 1)), lambda j: split(STEP * i + j))
+    coarse = F.transform(F.sequence(F.lit(1), F.lit(STEP - 1)), lambda i: split(STEP * i))
+    fine = F.transform(F.sequence(F.lit(0), F.lit(STEP - 1)), part)
+    splits = sample.select(F.struct(coarse.alias("coarse"), fine.alias("fine")).alias("s")).scalar()
+    first = _below(splits["coarse"], number)
+    return F.when(number.isNotNull(), first * STEP + _below(F.get(splits["fine"], first.cast("int")), number))
+
+
 def _cut(df: DataFrame, column: str) -> Column:
     """A value that never falls while the column rises."""
     kind = df.schema[column].dataType
     if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
         return F.date_trunc("hour", column)
-    if isinstance(kind, T.NumericType) and not isinstance(kind, T.ByteType):
-        number = F.col(column).cast("double")
-        # the extremes are a subquery of the plan, not a job of their own
-        ends = df.agg(F.struct(F.min(number).alias("lo"), F.max(number).alias("hi")).alias("ends")).scalar()
-        width = (ends["hi"] - ends["lo"]) / CUTS
-        return F.when(number.isNotNull(), F.coalesce(F.floor(F.try_divide(number - ends["lo"], width)), F.lit(0)))
-    if isinstance(kind, T.StringType):
-        return F.substring(column, 1, 2)
+    if isinstance(kind, (T.NumericType, T.StringType)) and not isinstance(kind, T.ByteType):
+        return _depth_cut(df, _number_of(df, column))
     return F.col(column)
 
 
@@ -111,7 +142,8 @@ def by_key(table: DataFrame, key: str, value: str) -> Column:
 def counted(df: DataFrame, value: str, keys: Sequence[str] = ()) -> DataFrame:
     """keys, __v, __n, __upto, __all: distinct values as doubles, their rows, rows up to them, rows of the key."""
     data = df.select(*keys, F.col(value).cast("double").alias("__v")).filter("__v is not null")
-    counts = data.groupBy(*keys, "__v").agg(F.count("*").alias("__n"))
+    # written once: splitters, ranks and totals all read the counts
+    counts = stage(data.groupBy(*keys, "__v").agg(F.count("*").alias("__n")), "value-counts")
     ranked = running(counts, keys, ["__v"], sums={"__upto": "__n"})
     if keys:
         totals = counts.groupBy(*keys).agg(F.sum("__n").alias("__all")).select(F.struct(*keys).alias("__k"), "__all")

@@ -138,8 +138,10 @@ def _node_merge(spark, folder):
         "date_time",
         "id",
     )
-    merged = merge.merge_nodes(existing, incoming, "account_number", ["date_time", "id"])
-    return merged.drop("date_time", "id")
+    path = fresh_path(spark, "nodes")
+    merge.create_snapshot(existing, path, "account_number", 16)
+    merge.upsert_snapshot(incoming, path, "account_number", ["date_time", "id"], 16)
+    return merge.read_snapshot(spark, path)
 
 
 @query(

@@ -320,8 +320,8 @@ def _currency_collapse(spark, folder):
 def _collapsed(spark, folder):
     return transfers(spark, folder).withColumns(
         {
-            "payment_currency_3": text.collapse_currency("payment_currency"),
-            "received_currency_3": text.collapse_currency("received_currency"),
+            "payment_currency_3": text.currency_class("payment_currency"),
+            "received_currency_3": text.currency_class("received_currency"),
         }
     )
 

@@ -46,6 +46,19 @@ def test_a_hot_key_spans_many_cuts(skewed):
     assert hot.select("__cut0").distinct().count() == 17
 
 
+@pytest.mark.parametrize("kind", ["outlier", "texts", "sampled"])
+def test_no_cut_gathers_the_rows(spark, kind):
+    """One far value, texts with the same beginning, and more distinct values than the sample holds."""
+    n = 100_000 if kind == "sampled" else 20_000
+    if kind == "texts":
+        column = F.format_string("ab%05d", F.col("id"))
+    else:
+        column = F.when(F.col("id") == 7, F.lit(1e12)).otherwise(F.col("id") * 0.5)
+    df = spark.range(n).select(column.alias("v"))
+    sizes = [r["count"] for r in df.groupBy(*cuts(df, ["v"]).values()).count().collect()]
+    assert sum(sizes) == n and max(sizes) < 0.05 * n and len(sizes) > 100
+
+
 def test_the_same_doubles_for_any_partitioning(skewed):
     found = []
     for parts in (1, 4, 32):

@@ -178,7 +178,7 @@ def test_names_titles_and_prefixes(spark):
 
 def test_currency_spellings(spark):
     df = spark.createDataFrame([(" EUR ",), ("£",), ("GBP",), ("Yen",), (None,)], "c string")
-    got = [r[0] for r in df.select(text.collapse_currency("c")).collect()]
+    got = [r[0] for r in df.select(text.currency_class("c")).collect()]
     assert got == ["Euro", "UK pounds", "UK pounds", "Other", "Other"]
 
 
