@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.ml.feature import FeatureHasher
 from pyspark.sql import functions as F
 
-from ledgerloom.operators import bayes, features, models
+from ledgerloom.operators import bayes, features, fold_search, models
 from ledgerloom.operators.neighbors import knn, knn_classify
 from ledgerloom.operators.sampling import stratified_folds
 from ledgerloom.operators.timeseries import rounded
@@ -355,6 +355,121 @@ def _random_search(spark, folder, draws: int = 4, folds: int = 3):
     return spark.createDataFrame(rows, "draw int, params string, mean_accuracy double, std_accuracy double")
 
 
+# ---- searches from the sums of folds -----------------------------------------
+
+DRAWS, FOLDS = 100, 5
+# the smallest share of the largest variance keeps a feature without spread in a class usable
+SMOOTHINGS = [d["s"] for d in models.draw_params({"s": ("loguniform", 1e-9, 1.0)}, DRAWS)]
+ALPHAS = [d["a"] for d in models.draw_params({"a": ("loguniform", 1e-3, 100.0)}, DRAWS)]
+CUTS = [(d["t"], d["a"]) for d in models.draw_params({"t": ("uniform", 0.2, 1.8), "a": ("loguniform", 1e-3, 100.0)}, DRAWS)]
+PENALTIES = [d["p"] for d in models.draw_params({"p": ("loguniform", 1e-3, 1e5)}, DRAWS)]
+
+
+def _searched(spark, folder, *names: str):
+    rows = _folded(spark, folder, FOLDS)
+    kinds = fold_search.categories(rows, CATEGORICAL)
+    means = rows.agg(*[F.avg(f) for f in NUMERIC]).first()
+    learners = {
+        "gaussian_nb": fold_search.Gaussian(SMOOTHINGS),
+        "bernoulli_nb": fold_search.Bernoulli(CUTS, list(means)),
+        "categorical_nb": fold_search.Categorical(ALPHAS, [len(k) for k in kinds]),
+        "ridge": fold_search.Ridge(PENALTIES),
+    }
+    found = fold_search.search(rows, {n: learners[n] for n in names}, NUMERIC, CATEGORICAL, kinds)
+    return found.groupBy("model", "draw").agg(
+        F.sum("n").alias("n"), F.sum("correct").alias("correct"), F.round(F.avg(F.col("correct") / F.col("n")), 9).alias("mean_accuracy")
+    )
+
+
+_FOLDED = f"""{FRAME}, d AS (SELECT *, (row_number() OVER (PARTITION BY label ORDER BY (id % 2147483648 * 1103515245 + 12345) % 2147483648, id) - 1) % {FOLDS} AS fold FROM f),
+  k AS (SELECT unnest(range({FOLDS})) AS held)"""
+
+
+def _values(rows: list) -> str:
+    return ", ".join(f"({i}, {', '.join(f'CAST({v!r} AS DOUBLE)' for v in (row if isinstance(row, tuple) else (row,)))})" for i, row in enumerate(rows))
+
+
+def _search_sql(model: str, tables: str, score: str, source: str) -> str:
+    """`score` is the log score of class cl for row d of the held fold under draw p."""
+    return f"""WITH {_FOLDED}, {tables},
+      s AS (SELECT p.draw, d.fold, d.id, d.label, c.cl, {score} AS score FROM d JOIN c ON c.held = d.fold CROSS JOIN p {source}),
+      r AS (SELECT draw, fold, id, any_value(label) AS label,
+                   CAST(max(score) FILTER (cl = 1) > max(score) FILTER (cl = 0) AS INTEGER) AS prediction FROM s GROUP BY 1, 2, 3),
+      a AS (SELECT draw, fold, count(*) AS n, count(*) FILTER (label = prediction) AS correct FROM r GROUP BY 1, 2)
+      SELECT '{model}' AS model, CAST(draw AS INTEGER) AS draw, CAST(sum(n) AS BIGINT) AS n, CAST(sum(correct) AS BIGINT) AS correct,
+             round(avg(correct / n), 9) AS mean_accuracy FROM a GROUP BY draw"""
+
+
+_PRIOR = "ln(c.n / CAST(sum(c.n) OVER (PARTITION BY p.draw, d.id) AS DOUBLE))"
+_MOMENTS = ", ".join(f"avg({f}) AS m_{f}, var_pop({f}) AS v_{f}" for f in NUMERIC)
+_WIDEST = "greatest(" + ", ".join(f"var_pop({f})" for f in NUMERIC) + ")"
+_BELL = "".join(f" - 0.5 * (ln(2 * pi() * (v_{f} + p.s * widest)) + pow({f} - m_{f}, 2) / (v_{f} + p.s * widest))" for f in NUMERIC)
+
+
+@query(
+    "search_gaussian_nb",
+    _search_sql(
+        "gaussian_nb",
+        f"""c AS (SELECT held, label AS cl, count(*) AS n, {_MOMENTS} FROM d JOIN k ON fold <> held GROUP BY 1, 2),
+        w AS (SELECT held AS w_held, {_WIDEST} AS widest FROM d JOIN k ON fold <> held GROUP BY 1),
+        p AS (SELECT * FROM (VALUES {_values(SMOOTHINGS)}) v(draw, s))""",
+        f"{_PRIOR}{_BELL}",
+        "JOIN w ON w_held = d.fold",
+    ),
+)
+def _search_gaussian_nb(spark, folder):
+    return _searched(spark, folder, "gaussian_nb")
+
+
+_OVER_CUT = ", ".join(f"avg({f}) AS mu_{f}" for f in NUMERIC)
+_ONES_CUT = ", ".join(f"count(*) FILTER ({f} > t * mu_{f}) AS o_{f}" for f in NUMERIC)
+_COIN = "".join(
+    f" + ln(CASE WHEN {f} > t * mu_{f} THEN (o_{f} + a) / (c.n + 2 * a) ELSE 1 - (o_{f} + a) / (c.n + 2 * a) END)" for f in NUMERIC
+)
+
+
+@query(
+    "search_bernoulli_nb",
+    _search_sql(
+        "bernoulli_nb",
+        f"""mu AS (SELECT {_OVER_CUT} FROM d), v AS (SELECT * FROM (VALUES {_values(CUTS)}) v(draw, t, a)),
+        p AS (SELECT * FROM v CROSS JOIN mu),
+        c AS (SELECT held, label AS cl, draw AS c_draw, count(*) AS n, {_ONES_CUT} FROM d JOIN k ON fold <> held CROSS JOIN p GROUP BY 1, 2, 3)""",
+        f"{_PRIOR}{_COIN}",
+        "WHERE c.c_draw = p.draw",
+    ),
+)
+def _search_bernoulli_nb(spark, folder):
+    return _searched(spark, folder, "bernoulli_nb")
+
+
+_KINDS = ", ".join(f"(SELECT count(DISTINCT {f}) FROM d) AS k_{f}" for f in CATEGORICAL)
+_SEEN = ", ".join(
+    f"t_{f} AS (SELECT held AS h_{f}, label AS l_{f}, {f} AS v_{f}, count(*) AS s_{f} FROM d JOIN k ON fold <> held GROUP BY 1, 2, 3)" for f in CATEGORICAL
+)
+_TABLE = "".join(f" + ln((coalesce(s_{f}, 0) + p.a) / (c.n + p.a * k_{f}))" for f in CATEGORICAL)
+
+
+@query(
+    "search_categorical_nb",
+    _search_sql(
+        "categorical_nb",
+        f"""{_SEEN}, g AS (SELECT {_KINDS}), p AS (SELECT * FROM (VALUES {_values(ALPHAS)}) v(draw, a) CROSS JOIN g),
+        c AS (SELECT held, label AS cl, count(*) AS n FROM d JOIN k ON fold <> held GROUP BY 1, 2)""",
+        f"{_PRIOR}{_TABLE}",
+        " ".join(f"LEFT JOIN t_{f} ON h_{f} = d.fold AND l_{f} = c.cl AND v_{f} = d.{f}" for f in CATEGORICAL),
+    ),
+)
+def _search_categorical_nb(spark, folder):
+    return _searched(spark, folder, "categorical_nb")
+
+
+@query("search_ridge")
+def _search_ridge(spark, folder):
+    """The equations of each draw are solved by elimination, for which SQL has no form."""
+    return _searched(spark, folder, "ridge")
+
+
 @query("cv_scores")
 def _cv_scores(spark, folder):
     """Held-out accuracy of every registered classifier over five folds."""
