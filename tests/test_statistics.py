@@ -267,3 +267,14 @@ def test_sketched_quantiles_keep_their_rank_error(spark, error):
 def test_sketches_of_nothing(spark):
     df = spark.createDataFrame([(1, None)], "day int, v double")
     assert profile.sketched_quantiles(profile.quantile_sketches(df, "v", ["day"]), [0.5]).collect() == []
+
+
+def test_distinct_counts_by_bits_and_by_values(spark):
+    rows = [(i % 7 - 3, (i * 7919) ** 4 % (1 << 60), i // 2 + 40_000, None if i % 3 else i, f"t{i % 5}", None) for i in range(90_000)]
+    df = spark.createDataFrame(rows, "few int, sparse long, dense long, holes int, text string, empty long").repartition(5)
+    want = {c: len({r[i] for r in rows if r[i] is not None}) for i, c in enumerate(df.columns)}
+    counted = profile.distinct_counts(df, df.columns)
+    assert {r["column"]: r["n_distinct"] for r in counted.collect()} == want
+    plan = counted._jdf.queryExecution().toString()
+    assert "bitmap_construct_agg" in plan
+    assert {r["column"]: r["n_distinct"] for r in profile.distinct_counts(df.limit(0), ["few", "text"]).collect()} in ({}, {"few": 0, "text": 0})
