@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.hashing import bernoulli
-from ledgerloom.operators.ledger import ledger_position
 
 # Fixed value: share of edges that are masked.
 MASK_SHARE = 0.2
@@ -72,7 +71,7 @@ def enrich_edges(edges: DataFrame, statements: DataFrame) -> DataFrame:
 def node_state(statements: DataFrame) -> DataFrame:
     """Balance after the last movement, and when an account was first and last seen."""
     return statements.groupBy("account").agg(
-        F.max_by("running_balance", ledger_position()).alias("current_balance"),
+        F.max_by("running_balance", "seq").alias("current_balance"),
         F.max("date_time").alias("last_seen"),
         F.min("date_time").alias("first_seen"),
     )
@@ -106,7 +105,7 @@ def _close_map(name: Column, balance: Column) -> Column:
 
 def monthly_close(statements: DataFrame) -> DataFrame:
     """Balance after the last movement of each (account, currency, month), long form."""
-    last = F.max_by("running_balance", ledger_position())
+    last = F.max_by("running_balance", "seq")
     return _month_groups(statements).agg(last.alias("balance_close")).withColumn("prop_name", _close_name())
 
 
@@ -128,13 +127,14 @@ def enriched_nodes(nodes: DataFrame, statements: DataFrame) -> DataFrame:
     so the ledger is read once.
     """
     months = _month_groups(statements).agg(
-        F.max_by("running_balance", ledger_position()).alias("balance"),
-        F.max(ledger_position()).alias("last"),
+        F.max_by("running_balance", "seq").alias("balance"),
+        F.max("seq").alias("last"),
         F.min("date_time").alias("first"),
+        F.max("date_time").alias("last_seen"),
     )
     state = months.groupBy("account_number").agg(
         F.max_by("balance", "last").alias("current_balance"),
-        F.max("last.date_time").alias("last_seen"),
+        F.max("last_seen").alias("last_seen"),
         F.min("first").alias("first_seen"),
         _close_map(_close_name(), F.col("balance")).alias("mclose_map"),
     )

@@ -41,11 +41,16 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return staged
 
 
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete a folder of intermediate data."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(folder, True)
+
+
 def unstage(*tables: DataFrame) -> None:
     """Delete tables made by `stage` that nothing reads any more."""
     for table in tables:
-        path = table.sparkSession._jvm.org.apache.hadoop.fs.Path(table.staged_at)
-        path.getFileSystem(table.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+        discard(table.sparkSession, table.staged_at)
 
 
 def spread(df: DataFrame, *columns: str) -> DataFrame:

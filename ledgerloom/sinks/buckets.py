@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.hashing import hash_bucket
+from ledgerloom.runtime import discard, fresh_path
+from ledgerloom.sinks.files import write_partitioned
 
 MANIFEST = "bucket int, rows long"
 
@@ -39,18 +41,22 @@ def export_buckets(
 ) -> DataFrame:
     """Write the buckets the manifest does not list, sorted inside each file, and list them.
 
+    The pending rows are computed once and put aside by bucket. From there
     `at_once` buckets are written by a job and listed when their files are
     committed, with counts read from those files. If a job dies, earlier buckets
     stay listed and the next run replaces what the dead one left behind.
     """
     spark = df.sparkSession
     listed = {row["bucket"] for row in read_manifest(spark, manifest_path).select("bucket").distinct().collect()}
-    todo = sorted(row[0] for row in df.select("bucket").distinct().collect() if row[0] not in listed)
+    aside = fresh_path(spark, "pending-buckets")
+    write_partitioned(df.filter(~F.col("bucket").isin(listed)), aside, ["bucket"])
+    pending = spark.read.schema(df.schema).parquet(aside)
+    todo = sorted(row[0] for row in pending.select("bucket").distinct().collect())
     done = []
     for start in range(0, len(todo), at_once):
         batch = todo[start : start + at_once]
         (
-            df.filter(F.col("bucket").isin(batch))
+            pending.filter(F.col("bucket").isin(batch))
             .hint("rebalance", "bucket")
             .sortWithinPartitions("bucket", *sort)
             .write.mode("overwrite")
@@ -62,4 +68,5 @@ def export_buckets(
         rows = [(row["bucket"], row["rows"]) for row in bucket_sizes(stored).collect()]
         spark.createDataFrame(rows, MANIFEST).coalesce(1).write.mode("append").parquet(manifest_path)
         done += rows
+    discard(spark, aside)
     return spark.createDataFrame(done, MANIFEST)
