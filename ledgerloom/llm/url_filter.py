@@ -13,23 +13,26 @@ among all pages and s the strength of that prior.
 
 All steps work on distinct (host, path) pairs with their counts. A level's join
 holds literal segments only: at most 1 / `SHARE` frequent ones of a parent, and
-the rare ones whose labels differ, however many.
+the rare ones whose labels differ, however many. Levels go on as long as some
+parent can still split: it has `LEAST` pages and two different paths. Below a
+parent that cannot, the rest of a path is decided at once, as its levels would.
 
 Defined cases: a null url, or one without `://`, has an empty host and path; a
 url without a fitting rule is judged by its template; an empty path is the
-template `/`; segments past `DEPTH` become one tail wildcard; null labels do not
-count; equal urls get equal verdicts; an empty table gives an empty result;
-other columns are ignored.
+template `/`; paths are followed to their end; null labels do not count; equal
+urls get equal verdicts; an empty table gives an empty result; other columns are
+ignored.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.common import UPPER, pages, stage
 
-DEPTH = 6
 LEAST = 5  # a literal segment has at least so many pages
 SHARE = 0.02  # a segment with this share of its parent's pages is compared with the others that have it
 STRENGTH = 10.0
@@ -111,27 +114,42 @@ def deviating(rare: DataFrame) -> DataFrame:
     return rare.where(F.col("n") >= LEAST).join(pooled, key).where(unlike).select("host", "prefix", "seg", F.col("seg").alias("branch"))
 
 
-def templates(paths: DataFrame, depth: int = DEPTH) -> DataFrame:
+def settled(rows: DataFrame, level: int) -> DataFrame:
+    """`rows` with template, which is null below parents that can still split at `level`."""
+    parents = rows.groupBy("host", "prefix").agg(F.sum("n").alias("total"), F.count("*").alias("paths"))
+    rest = F.slice("segs", level + 1, F.size("segs"))
+    shapes = F.transform(rest, lambda s: F.concat(F.lit("<"), shape(s), F.lit(">")))
+    below = lambda tail: F.concat("prefix", F.lit("/"), F.array_join(tail, "/"))
+    template = (
+        F.when(F.size("segs") <= level, F.col("prefix"))
+        .when(F.col("total") < LEAST, below(shapes))
+        .when(F.col("paths") == 1, below(rest))  # alone, and with pages enough: literal to the end
+    )
+    return rows.join(parents, ["host", "prefix"]).select(*rows.columns, template.alias("template"))
+
+
+def templates(paths: DataFrame) -> DataFrame:
     """host, path, template for (host, path, n, labelled, bad)."""
     segments = F.filter(F.split("path", "/"), lambda s: s != "")
     rows = paths.select("host", "path", "n", "labelled", "bad", segments.alias("segs"), F.lit("").alias("prefix"))
-    levels = min(depth, rows.agg(F.max(F.size("segs"))).first()[0] or 0)
-    for level in range(levels):
+    level, done = 0, []
+    while True:
+        level_rows = stage(settled(rows, level), "url-level")
+        done.append(level_rows.where("template is not null").select("host", "path", "template"))
+        rows = level_rows.where("template is null").drop("template")
+        if rows.isEmpty():
+            break
         seg, after = F.get("segs", F.lit(level)), F.get("segs", F.lit(level + 1))
         rows = rows.withColumns({"seg": seg, "next": shape(after)})
         known = stage(literals(rows), "url-literals")
         match = (F.col("host") == F.col("l_host")) & (F.col("prefix") == F.col("l_prefix")) & (F.col("seg") == F.col("l_seg"))
         wild = F.concat(F.lit("<"), shape(F.col("seg")), F.lit(">"))
         rows = rows.join(known, match, "left").select(
-            "host", "path", "n", "labelled", "bad", "segs",
-            F.when(F.col("seg").isNull(), F.col("prefix"))
-            .otherwise(F.concat("prefix", F.lit("/"), F.coalesce("branch", wild)))
-            .alias("prefix"),
-        )
-        rows = stage(rows, "url-level")
-    tail = F.when(F.size("segs") > depth, F.lit("/**")).otherwise(F.lit(""))
-    whole = F.concat("prefix", tail)
-    return rows.select("host", "path", F.when(whole == "", F.lit("/")).otherwise(whole).alias("template"))
+            "host", "path", "n", "labelled", "bad", "segs", F.concat("prefix", F.lit("/"), F.coalesce("branch", wild)).alias("prefix")
+        )
+        level += 1
+    whole = reduce(DataFrame.unionByName, done)
+    return whole.withColumn("template", F.when(F.col("template") == "", F.lit("/")).otherwise(F.col("template")))
 
 
 def judged(urls: DataFrame, evidence: DataFrame | None, rules: list[Rule]) -> DataFrame:
