@@ -2,13 +2,14 @@
 
 Fixed patterns give the base spans. Long mixed tokens are further candidates.
 The hashes of all candidates are counted by distinct repositories and owners
-over the whole corpus: what many owners hold is a copied example, what one or
-two hold looks live. Live-looking tokens are added to the spans; base spans stay
-whatever their label.
+over the whole corpus. A repository is a distinct text, so copies of a document
+count once. What many owners hold, or few owners in many repositories, is a
+copied example; what one or two owners hold in a few repositories looks live.
+Live-looking tokens are added to the spans; base spans stay whatever their label.
 
 Hot candidates (one key in a third of all documents) are counted in steps that
-combine before each shuffle: per (candidate, owner, repository), then per
-(candidate, owner), then per candidate.
+combine before each shuffle: per candidate and owner, and candidate and
+repository, then per candidate.
 
 Defined cases: a null text is empty and has no spans; a null owner is one owner
 of its own; spans of different kinds may overlap, a token that overlaps a base
@@ -42,6 +43,7 @@ KEYWORDS = ("passw", "secret", "token", "api_key", "apikey")
 TOKEN = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}={0,2}")
 TOKEN_ENTROPY = 3.5  # bits a character
 LIVE_OWNERS = 2  # more owners than this make an example
+LIVE_REPOSITORIES = 10  # and so do more repositories
 REPLACEMENT = "[SECRET]"
 
 
@@ -111,26 +113,20 @@ def candidates(docs: DataFrame, owner: Column) -> DataFrame:
 
 
 def ownership(found: DataFrame) -> DataFrame:
-    """secret, owners, repositories over the whole corpus; a document is a repository."""
-    held = found.select("owner", "doc_id", F.explode("spans.secret").alias("secret"))
-    return (
-        held.groupBy("secret", "owner", "doc_id")
-        .agg(F.count("*").alias("times"))
-        .groupBy("secret", "owner")
-        .agg(F.count("*").alias("held_in"))
-        .groupBy("secret")
-        .agg(F.count("*").alias("owners"), F.sum("held_in").alias("repositories"))
-    )
+    """secret, owners, repositories over the whole corpus; equal texts are one repository."""
+    held = found.select("owner", "text_key", F.explode("spans.secret").alias("secret"))
+    return held.groupBy("secret").agg(F.count_distinct("owner").alias("owners"), F.count_distinct("text_key").alias("repositories"))
 
 
-def scan(docs: DataFrame, owner: Column, live_owners: int = LIVE_OWNERS) -> DataFrame:
+def scan(docs: DataFrame, owner: Column, live_owners: int = LIVE_OWNERS, live_repositories: int = LIVE_REPOSITORIES) -> DataFrame:
     """A row for each row of `docs`: base counts and digest, and spans with kind, start, end, live."""
     found = stage(candidates(docs, owner), "secret-candidates")
     known = stage(ownership(found), "secret-owners").withColumnRenamed("secret", "k_secret")
     each = found.select("row", F.explode("spans").alias("span"))
     judged = each.join(known, F.col("span.secret") == F.col("k_secret")).select(
-        F.col("row").alias("j_row"), "span", (F.col("owners") <= live_owners).alias("live"), "owners", "repositories"
-    )
+        F.col("row").alias("j_row"), "span", "owners", "repositories",
+        ((F.col("owners") <= live_owners) & (F.col("repositories") <= live_repositories)).alias("live"),
+    )
     token = KINDS.index("token")
     lists = (
         judged.where((F.col("span.kind") != token) | F.col("live"))

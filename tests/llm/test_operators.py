@@ -97,9 +97,12 @@ def test_near_dedup_keeps_one_row_of_a_group(spark, messy):
     assert set(got) - {None} == want and got[22] == 1 and got[None] == 2
 
 
-def test_near_dedup_of_a_large_group_near_the_threshold(spark):
+@pytest.mark.parametrize("members, block", [(60, 2048), (160, 16), (320, 64)])
+def test_near_dedup_of_a_large_group_near_the_threshold(spark, monkeypatch, members, block):
+    """Blocks smaller than the group, sizes that differ by more than a class, few links in all."""
+    monkeypatch.setattr(near_dedup, "BLOCK", block)
     base = corpus.prose(21, 150)
-    rows = [(i, " ".join(corpus.edited(base, i, i % 14))) for i in range(160)]
+    rows = [(i, " ".join(corpus.edited(base, i, i % 14)[: 150 - i % 40])) for i in range(members)]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in near_dedup.linked(docs).collect()}
     assert got == corpus.brute_near(rows)
@@ -209,6 +212,21 @@ def test_secret_scan(spark, messy):
     assert by_id[21]["spans"] == "token:4:28" and by_id[40]["spans"] == ""
 
 
+def test_secrets_are_live_by_owners_and_repositories(spark):
+    """One owner's token in many texts, or in many copies of one text; three owners' token; both counts by hand."""
+    tokens = [f"q7Kz9mVx2Lp4Rt8Wn3Bc6Yh{i}" for i in range(4)]
+    rows = [(i, f"text {i} {tokens[0]}", "a") for i in range(11)] + [(20 + i, f"copy {tokens[1]}", "a") for i in range(30)]
+    rows += [(60 + i, f"other {i} {tokens[2]}", "abc"[i]) for i in range(3)] + [(70 + i, f"more {i} {tokens[3]}", "ab"[i % 2]) for i in range(10)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    want = {}
+    for token in tokens:
+        holders = [r for r in rows if token in r[1]]
+        owners, texts = {r[2] for r in holders}, {r[1] for r in holders}
+        want |= {r[0]: (len(owners), len(texts)) for r in holders if len(owners) <= 2 and len(texts) <= 10}
+    got = {r["doc_id"]: (s["owners"], s["repositories"]) for r in secret_scan.scan(docs, docs["source"]).collect() for s in r["spans"] if s["live"]}
+    assert got == want and set(want) == {*range(20, 50), *range(70, 80)}
+
+
 def test_redaction_replaces_spans_and_keeps_the_rest(spark, messy):
     docs = spark.read.parquet(f"{messy}/documents.parquet")
     left = secret_scan.redacted(docs, docs["source"])
@@ -339,6 +357,22 @@ def test_url_templates_generalise_merge_and_reject(spark):
     assert {r["template"] for r in url_filter.judged(same, None, []).collect()} == {"/*/<number>"}
 
 
+def test_url_templates_follow_the_whole_path(spark):
+    """The same sections far down a path, beside one path of many segments that nothing branches from."""
+    deep = "/a/b/c/d/e/f/g/h"
+    urls = [(i, f"http://deep.org{deep}/{'spam' if i % 2 else 'news'}/{i}") for i in range(80)]
+    long = "/".join(f"s{i}" for i in range(300))
+    urls += [(100 + i, f"http://long.org/{long}") for i in range(6)] + [(200, f"http://rare.org/{long}/x1")]
+    labels = [(i, i % 2) for i in range(80)]
+    found = url_filter.judged(
+        spark.createDataFrame(urls, "page_id long, url string"), spark.createDataFrame(labels, "page_id long, bad int"), []
+    ).collect()
+    by_id = {r["page_id"]: r for r in found}
+    assert all(by_id[i]["template"] == f"{deep}/{'spam' if i % 2 else 'news'}/<number>" for i in range(80))
+    assert all(by_id[i]["verdict"] == ("block" if i % 2 else "allow") for i in range(80))
+    assert by_id[100]["template"] == f"/{long}" and by_id[200]["template"] == "/" + "/".join(["<coded>"] * 301)
+
+
 def test_url_templates_keep_a_rare_section_whose_labels_differ(spark):
     names = [a + b for a in "abcdefghijkl" for b in "abcdefghijkl"]
     urls, labels = [], []
