@@ -9,15 +9,18 @@ after a few steps.
 `ROWS` registers make a band; documents that agree in one of `BANDS` bands are
 candidates. With collision probability of at least J for a register, a pair at
 J = 0.8 is missed with probability (1 - 0.8^7)^56 = 2e-6, and less above.
-Candidates whose registers make J >= 0.8 unlikely (likelihood ratio below e^-14)
-are let go; the rest is confirmed on the full shingle sets.
+Candidates whose registers make J >= 0.8 implausible are let go; the bound of the
+likelihood ratio, and of the share of equal registers, is set so that a pair at
+the threshold is lost with a probability of `MISSED`. The rest is confirmed on
+the full shingle sets.
 
 Documents with equal sets are one class and are tested once. Of a band's group
 not all pairs are tested: first each document with the least document it meets,
-then the pairs that are a group of their own, then each document with the
-closest likely one of each other component in its larger groups, then with eight
-times as many, until no likely pair of different components is left untested. What is already connected needs no test, so a large group of copies
-costs a few tests for each member, and no link between components is lost.
+then the pairs that are a group of their own. What is then left of different
+components in larger groups is compared and verified within tasks, in blocks of
+similar size; a task gives only the links that join two components. What is
+connected needs no test, so a large group of copies costs a few tests for each
+member, and no link between components is lost.
 
 Defined cases: a null or empty text has an empty set and is linked with nothing;
 fewer words than a shingle make one shingle of the whole sequence; a row with a
@@ -29,7 +32,8 @@ columns are ignored.
 from __future__ import annotations
 
 from itertools import chain
-from math import gcd
+from math import gcd, sqrt
+from statistics import NormalDist
 
 import numpy as np
 import pyarrow as pa
@@ -38,6 +42,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.llm.common import as_bytes, documents, pieces, stage, texts
 from ledgerloom.llm.components import components
+from ledgerloom.runtime import unstage
 from ledgerloom.llm.substring_dedup import WordHashes, mixed
 
 BASE = 1.2
@@ -46,9 +51,10 @@ REGISTERS = ROWS * BANDS
 RATE = 20.0  # keeps the registers of one-shingle sets above 0
 TOP = 255
 BATCH_BYTES = 4 << 20
-UNLIKELY = 14.0
-LEAST_SAME = 0.65  # at J = 0.8 fewer equal registers have a probability below 1e-12
-BLOCK = 1024  # members of a group that one task compares with as many others
+MISSED = 1e-6  # how often a pair at the threshold may look too unlike to be verified
+SIGMAS = NormalDist().inv_cdf(1 - MISSED)
+UNLIKELY = SIGMAS**2 / 2  # the log-likelihood ratio that a normal deviate of SIGMAS gives
+BLOCK = 2048  # members of a group that one task compares with as many others
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 STRIDES = np.array([s for s in range(1, REGISTERS) if gcd(s, REGISTERS) == 1], np.int64)
 
@@ -161,13 +167,47 @@ def sketched(docs: DataFrame, size: int) -> DataFrame:
 
 
 def groups_of_bands(reps: DataFrame) -> DataFrame:
-    """spot, rep, low, two: documents that agree in a band with another document; `spot` names the band and its registers."""
-    bands = reps.select("rep", F.posexplode(F.array(*[F.substring("registers", i * ROWS + 1, ROWS) for i in range(BANDS)])))
-    bands = bands.select(F.xxhash64("pos", "col").alias("spot"), "rep")
+    """spot, band, rep, n_shingles, low, two: documents that agree in a band with another document; `spot` names the band and its registers."""
+    cut = F.array(*[F.substring("registers", i * ROWS + 1, ROWS) for i in range(BANDS)])
+    bands = reps.select("rep", "n_shingles", F.posexplode(cut).alias("band", "own"))
+    bands = bands.select(F.xxhash64("band", "own").alias("spot"), "band", "rep", "n_shingles")
     least, two = F.min("rep").alias("low"), (F.count("*") == 2).alias("two")
     shared = bands.groupBy("spot").agg(least, F.max("rep").alias("high"), two).where("low < high")
     shared = shared.select(F.col("spot").alias("s_spot"), "low", "two")
-    return bands.join(shared, F.col("spot") == F.col("s_spot")).select("spot", "rep", "low", "two")
+    return bands.join(shared, F.col("spot") == F.col("s_spot")).select("spot", "band", "rep", "n_shingles", "low", "two")
+
+
+def close_pairs(table: pa.Table, percent: int):
+    """(x, y, likelihood order) of the rows of a block to be verified in it, the closest first.
+
+    These are pairs of a row of the few and one of all, of different components,
+    with plausible registers, that have no earlier band in common: a pair is
+    looked at in one of its groups only.
+    """
+    few, all_, rep = (table.column(c).to_numpy() for c in ("few", "all", "rep"))
+    component, band = table.column("component").to_numpy(), table.column("band").to_numpy()
+    n = table.column("n_shingles").to_numpy().astype(float)
+    regs = np.frombuffer(b"".join(table.column("registers").to_pylist()), np.uint8).reshape(len(rep), -1)
+    least_same = percent / 100 - SIGMAS * sqrt(percent / 100 * (1 - percent / 100) / regs.shape[1])
+    x, found = np.flatnonzero(all_), []
+    for y in np.flatnonzero(few):
+        once = ~few[x] | (x < y) if all_[y] else True  # not both ways round
+        close = x[once & (component[x] != component[y]) & (100 * np.minimum(n[x], n[y]) >= percent * np.maximum(n[x], n[y]))]
+        equal = regs[close] == regs[y]
+        same = equal.mean(1)
+        fits = same >= least_same
+        # registers of earlier bands; a whole band of equal ones is handled there
+        earlier = equal[fits, : band[y] * ROWS].reshape(int(fits.sum()), int(band[y]), ROWS).all(2).any(1)
+        close, same = close[fits][~earlier], same[fits][~earlier]
+        if len(close):
+            fits = plausible(regs[close], regs[[y]], n[close], n[[y]], percent)
+            found += zip(same[fits].tolist(), close[fits].tolist(), [int(y)] * int(fits.sum()))
+    return sorted(found, key=lambda f: (-f[0], rep[f[1]], rep[f[2]]))
+
+
+def is_linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
+    both = len(np.intersect1d(a, b, assume_unique=True))
+    return 100 * both >= percent * (len(a) + len(b) - both)
 
 
 class Tester:
@@ -217,8 +257,7 @@ class Tester:
             for batch in pieces(batches, "b_set", BATCH_BYTES):
                 ok = []
                 for a, b in zip(batch.column("a_set").to_pylist(), batch.column("b_set").to_pylist()):
-                    both = len(np.intersect1d(np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64), assume_unique=True))
-                    ok.append(100 * both >= percent * ((len(a) + len(b)) // 8 - both))
+                    ok.append(is_linked(np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64), percent))
                 ok = pa.array(ok, pa.bool_())
                 yield pa.RecordBatch.from_arrays([batch.column("a").filter(ok), batch.column("b").filter(ok)], names=["u", "v"])
 
@@ -228,77 +267,109 @@ class Tester:
         both = pairs.join(side("a"), F.col("a") == F.col("a_rep")).join(side("b"), F.col("b") == F.col("b_rep"))
         return both.drop("a_rep", "b_rep").mapInArrow(run, "u long, v long").distinct()
 
-    def likely_across(self, members: DataFrame, most: int) -> DataFrame:
-        """Likely pairs (a, b, more) of different components within the groups (spot, rep, component) of three or more.
+    def dealt(self, members: DataFrame) -> DataFrame:
+        """`members` of groups with several components, dealt to blocks of a task each.
 
-        Most members of a large group are in one component by now and need no
-        tests among themselves. The others, in blocks, meet all members, in
-        blocks; the registers are compared within the task. Of each document's
-        likely partners in another component the `most` closest leave it, since
-        one confirmed link joins the two; `more` says that others are left.
+        Most members of a large group are in one component, the main one, and
+        need no tests among themselves. The others, the few, meet all members.
+        A document can be linked with documents of 0.8 to 1.25 times its size
+        only, so a group falls apart into classes of size first. A row may stand
+        for a document of the few, of all, or both.
         """
         counts = members.groupBy("spot", "component").agg(F.count("*").alias("n"))
         size = F.max(F.struct("n", "component"))
-        groups = counts.groupBy("spot").agg(size.alias("main"), F.count("*").alias("parts"), F.sum("n").alias("all"))
-        groups = stage(
-            groups.where("parts > 1 and all > 2").select(
-                F.col("spot").alias("g_spot"), F.col("main.component").alias("main"),
-                F.ceil((F.col("all") - F.col("main.n")) / BLOCK).cast("int").alias("few_blocks"),
-                F.ceil(F.col("all") / BLOCK).cast("int").alias("all_blocks"),
-            ),
-            "near-mixed",
+        groups = counts.groupBy("spot").agg(size.alias("main"), F.count("*").alias("parts")).where("parts > 1")
+        groups = groups.select(F.col("spot").alias("g_spot"), F.col("main.component").alias("main"))
+        # steps as wide as the allowed ratio of sizes; a class has two of them, so that a pair stands in
+        # one class, or in two that follow each other, in the halves that touch
+        half = F.floor(F.log("n_shingles") / F.lit(np.log(100 / self.percent)) * F.lit(1 - 1e-9)).cast("int")
+        rows = members.join(groups, F.col("spot") == F.col("g_spot")).select(*members.columns, (F.col("component") != F.col("main")).alias("other"), half.alias("half"))
+        size = F.floor(F.col("half") / 2).cast("int")
+        touching = size + F.when(F.pmod("half", F.lit(2)) == 1, 1).otherwise(-1)
+        rows = stage(rows.select(*members.columns, "other", size.alias("size"), touching.alias("touching")), "near-mixed")
+        none = F.lit(0).cast("long")
+        own = rows.groupBy("spot", F.col("size").alias("at")).agg(F.count("*").alias("all"), F.count_if("other").alias("few"))
+        near = rows.where("other").groupBy("spot", F.col("touching").alias("at")).agg(none.alias("all"), F.count("*").alias("few"))
+        blocks = own.unionByName(near).groupBy("spot", "at").agg(F.sum("few").alias("few"), F.sum("all").alias("all"))
+        blocks = blocks.where("few > 0 and all > 0").select(
+            F.col("spot").alias("b_spot"), F.col("at").alias("b_at"),
+            F.ceil(F.col("few") / BLOCK).cast("int").alias("few_blocks"), F.ceil(F.col("all") / BLOCK).cast("int").alias("all_blocks"),
         )
-        rows = members.join(groups, F.col("spot") == F.col("g_spot")).join(
-            self.reps.select(F.col("rep").alias("r_rep"), "n_shingles", "registers"), F.col("rep") == F.col("r_rep")
-        )
-        own = F.xxhash64("rep")
-        sides = F.array(
-            F.struct(F.lit(False).alias("few"), F.sequence(F.lit(0), F.col("few_blocks") - 1).alias("i"),
-                     F.array(F.pmod(own, "all_blocks").cast("int")).alias("j")),
-            F.when(F.col("component") != F.col("main"),
-                   F.struct(F.lit(True).alias("few"), F.array(F.pmod(own, "few_blocks").cast("int")).alias("i"),
-                            F.sequence(F.lit(0), F.col("all_blocks") - 1).alias("j"))),
+        places = rows.withColumn("at", F.col("size")).unionByName(rows.where("other").withColumn("at", F.col("touching")))
+        placed = places.join(blocks, (F.col("spot") == F.col("b_spot")) & (F.col("at") == F.col("b_at")))
+        h = F.xxhash64("rep")
+        own_i, own_j = F.pmod(h, "few_blocks").cast("int"), F.pmod(h, "all_blocks").cast("int")
+        spots = lambda n, place: F.transform(F.sequence(F.lit(0), F.col(n) - 1), place)
+        as_all = F.when(F.col("at") == F.col("size"), spots("few_blocks", lambda i: F.struct(i.alias("i"), own_j.alias("j"))))
+        as_few = F.when(F.col("other"), spots("all_blocks", lambda j: F.struct(own_i.alias("i"), j.alias("j"))))
+        empty = F.array().cast("array<struct<i:int,j:int>>")
+        tasks = F.explode(F.array_distinct(F.concat(F.coalesce(as_all, empty), F.coalesce(as_few, empty))))
+        return placed.withColumn("task", tasks).select(
+            *members.columns, "at", "task.i", "task.j",
+            ((F.col("at") == F.col("size")) & (F.col("task.j") == own_j)).alias("all"), (F.col("other") & (F.col("task.i") == own_i)).alias("few"),
         )
-        kept = ["spot", "rep", "component", "n_shingles", "registers"]
-        dealt = rows.select(*kept, F.explode(F.filter(sides, lambda x: x.isNotNull())).alias("side"))
-        dealt = dealt.select(*kept, "side.few", F.explode("side.i").alias("i"), "side.j")
-        dealt = dealt.select(*kept, "few", "i", F.explode("j").alias("j"))
-        percent = self.percent
 
-        def compare(table: pa.Table) -> pa.Table:
-            few = table.column("few").to_numpy()
-            rep, component = table.column("rep").to_numpy(), table.column("component").to_numpy()
-            n = table.column("n_shingles").to_numpy().astype(float)
-            regs = np.frombuffer(b"".join(table.column("registers").to_pylist()), np.uint8).reshape(len(rep), -1)
-            x, found = np.flatnonzero(~few), []
-            for y in np.flatnonzero(few):
-                close = x[(component[x] != component[y]) & (100 * np.minimum(n[x], n[y]) >= percent * np.maximum(n[x], n[y]))]
-                same = (regs[close] == regs[y]).mean(1)
-                close, same = close[same >= LEAST_SAME], same[same >= LEAST_SAME]
-                if len(close):
-                    fits = plausible(regs[close], regs[[y]], n[close], n[[y]], percent)
-                    close, same = close[fits], same[fits]
-                order = np.lexsort((rep[close], -same, component[close]))
-                close = close[order]
-                first = np.flatnonzero(np.r_[True, component[close][1:] != component[close][:-1]]) if len(close) else []
-                for start, stop in zip(first, [*first[1:], len(close)]):
-                    for r in rep[close[start : min(stop, start + most)]].tolist():
-                        found.append((min(r, int(rep[y])), max(r, int(rep[y])), bool(stop - start > most)))
-            a, b, more = zip(*found) if found else ([], [], [])
-            return pa.table([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(more, pa.bool_())], names=["a", "b", "more"])
-
-        pairs = dealt.groupBy("spot", "i", "j").applyInArrow(compare, "a long, b long, more boolean")
-        return pairs.groupBy("a", "b").agg(F.max("more").alias("more"))
+    def links_across(self, members: DataFrame) -> DataFrame:
+        """Links (u, v) that join different components within the groups (spot, band, rep, component).
+
+        First the registers are compared within tasks, and members that have a
+        plausible partner stay. These meet again with their shingle sets; pairs
+        are verified within the task, the closest first, unless links found
+        there have joined them. A task gives fewer links than it has members,
+        and of two components that a link joins, every task that sees it either
+        gives the link or a path of others.
+        """
+        percent = self.percent
+        sketches = self.reps.select(F.col("rep").alias("r_rep"), "registers")
+        sets = self.sets.select(F.col("rep").alias("t_rep"), "shingles")
+        block = ["spot", "at", "i", "j"]
+        kept = members.columns
+
+        def active(table: pa.Table) -> pa.Table:
+            mask = np.zeros(table.num_rows, bool)
+            for _, x, y in close_pairs(table, percent):
+                mask[x] = mask[y] = True
+            return table.select(kept).filter(pa.array(mask))
+
+        first = self.dealt(members).join(sketches, F.col("rep") == F.col("r_rep")).drop("r_rep")
+        live = first.groupBy(*block).applyInArrow(active, members.schema)
+        live = stage(live.distinct(), "near-active")
+        again = self.dealt(live).join(sketches, F.col("rep") == F.col("r_rep")).join(sets, F.col("rep") == F.col("t_rep")).drop("r_rep", "t_rep")
+
+        def verify(table: pa.Table) -> pa.Table:
+            rep, component = table.column("rep").to_pylist(), table.column("component").to_pylist()
+            shingles = [np.frombuffer(s, np.uint64) for s in table.column("shingles").to_pylist()]
+            above = {c: c for c in component}
+
+            def root(c):
+                while above[c] != c:
+                    above[c] = c = above[above[c]]
+                return c
+
+            u, v = [], []
+            for _, x, y in close_pairs(table, percent):
+                a, b = root(component[x]), root(component[y])
+                if a != b and is_linked(shingles[x], shingles[y], percent):
+                    above[max(a, b)] = min(a, b)
+                    u.append(rep[x])
+                    v.append(rep[y])
+            return pa.table([pa.array(u, pa.int64()), pa.array(v, pa.int64())], names=["u", "v"])
+
+        return again.groupBy(*block).applyInArrow(verify, "u long, v long")
 
     def test(self, pairs: DataFrame) -> None:
         pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a < b").distinct()
-        self.confirm(stage(self.likely(stage(pairs, "near-pairs")), "near-likely"))
-
-    def confirm(self, pairs: DataFrame) -> None:
-        """Verify pairs (a < b) and join their components."""
-        found = self.confirmed(pairs)
-        self.links = stage(found if self.links is None else self.links.union(found), "near-links")
-        self.labels = stage(components(self.links), "near-components")
+        pairs = stage(pairs, "near-pairs")
+        self.join(self.confirmed(self.likely(pairs)))
+        unstage(pairs)
+
+    def join(self, found: DataFrame) -> None:
+        """Join the components of confirmed links (u, v)."""
+        known = self.links
+        self.links = stage(found if known is None else known.union(found), "near-links")
+        if known is not None:
+            unstage(known)
+        self.labels = components(self.links)
 
     def labelled(self, rows: DataFrame, column: str, name: str) -> DataFrame:
         own = self.labels.select(F.col("node").alias("l_node"), F.col("component").alias("l_component"))
@@ -320,19 +391,14 @@ def linked(docs: DataFrame, size: int = 2, percent: int = 80) -> DataFrame:
     members = stage(groups_of_bands(reps), "near-groups")
     tester = Tester(plain, reps, members, size, percent)
     # each document with the least one it meets, then the groups of two, which need not be with that one,
-    # then the closest of other components, ever more of them
+    # then whatever the other groups hold of different components
     stars = members.groupBy(F.col("rep").alias("b")).agg(F.min("low").alias("a"))
     tester.test(stars)
     twos = members.where("two and low < rep").select(F.col("low").alias("a"), F.col("rep").alias("b")).distinct()
     untested = twos.join(stars, ["a", "b"], "left_anti")
     tester.test(tester.labelled(tester.labelled(untested, "a", "ca"), "b", "cb").where("ca <> cb"))
-    most = 1
-    while True:
-        likely = stage(tester.likely_across(tester.labelled(members, "rep", "component"), most), "near-likely")
-        tester.confirm(likely.select("a", "b"))
-        if likely.where("more").isEmpty():
-            break
-        most *= 8
+    groups = tester.labelled(members.where("not two"), "rep", "component").select("spot", "band", "rep", "n_shingles", "component")
+    tester.join(tester.links_across(stage(groups, "near-members")))
     labelled = tester.labelled(classed.select("doc_id", "n_shingles", "rep"), "rep", "component")
     component = F.when(F.col("rep").isNull(), F.col("doc_id")).otherwise(F.col("component"))
     return labelled.select("doc_id", "n_shingles", component.alias("component_id")).select(
