@@ -7,6 +7,9 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from pyspark.ml import Estimator
+from pyspark.ml.feature import SQLTransformer, VectorAssembler
+
 from ledgerloom.operators import bayes, features, models
 from ledgerloom.operators.neighbors import knn, knn_classify
 
@@ -146,3 +149,35 @@ def test_neighbours_of_an_empty_training_set(spark):
     train = spark.createDataFrame([], "id long, x array<double>, label int")
     asked = spark.createDataFrame([(1, [1.0, 2.0], 0)], "id long, x array<double>, label int")
     assert knn(train, asked, 3, "id", "x", "label").collect() == []
+
+
+class _Counted(Estimator):
+    """Passes rows on, and keeps how many it was fitted on."""
+
+    def __init__(self):
+        super().__init__()
+        self.fits = []
+
+    def copy(self, extra=None):
+        return self
+
+    def _fit(self, dataset):
+        self.fits.append(dataset.count())
+        return SQLTransformer(statement="SELECT * FROM __THIS__")
+
+
+def test_learners_share_what_a_fold_prepared(spark):
+    source = random.Random(5)
+    rows = [(i % 3, source.gauss(i % 2, 0.7), source.gauss(0, 1), float(i % 2)) for i in range(150)]
+    df = spark.createDataFrame(rows, "fold int, a double, b double, label double")
+    gather = lambda: VectorAssembler(inputCols=["a", "b"], outputCol="features")
+    learners = {"tree": models.learner("tree", maxDepth=2), "logistic": models.learner("logistic", regParam=0.01)}
+    counted = _Counted()
+    found = models.shared_cv_scores([counted, gather()], learners, df, 3)
+    assert counted.fits == [100, 100, 100]  # once a fold, on its training rows, never on all
+    for name, stages in learners.items():
+        searched = models.random_search(models.Pipeline(stages=[gather(), *stages]), df, {}, 1, 3)
+        assert found[name] == pytest.approx((searched.avgMetrics[0], searched.stdMetrics[0]))
+        assert models.cv_scores(models.Pipeline(stages=[gather(), *stages]), df, 3) == pytest.approx(found[name])
+    with pytest.raises(ValueError):
+        models.shared_cv_scores([gather()], learners, df, 2)
