@@ -5,6 +5,10 @@ each pivot's cell bound how far the k-th neighbour of a query can be, so a query
 only visits cells that can hold one of its neighbours. Cells with many rows are
 split into blocks; each task compares one block of rows with one block of queries
 and keeps k rows per query, and the per-block winners are merged.
+
+A block is compared in tiles. For p = 2 the product form of the distance, with a
+bound on its rounding error, rules out rows behind the k best so far; what it leaves
+is measured by differences, so near-equal rows keep their digits.
 """
 
 from __future__ import annotations
@@ -28,6 +32,67 @@ def _matrix(column: pd.Series) -> np.ndarray:
     return np.stack(column.to_numpy()).astype(float)
 
 
+# Queries and rows of a tile, and pairs that are measured at once.
+TILE_QUERIES, TILE_ROWS, TILE_PAIRS = 1024, 2048, 1 << 16
+
+
+def _leave_out(d: np.ndarray, own: np.ndarray, ids: np.ndarray) -> None:
+    """Infinite distance where a query meets its own id; numbers come sorted."""
+    if ids.dtype.kind not in "iu":
+        d[own[:, None] == ids[None, :]] = np.inf
+        return
+    low, high = np.searchsorted(ids, own, "left"), np.searchsorted(ids, own, "right")
+    for query in np.flatnonzero(high > low):
+        d[query, low[query] : high[query]] = np.inf
+
+
+def _nearest(own: np.ndarray, asks: np.ndarray, ids: np.ndarray, rows: np.ndarray, k: int, p: int, exclude_self: bool):
+    """(query, row, distance) positions of each query's k nearest rows; equal distances go to the earlier row."""
+    with np.errstate(over="ignore", invalid="ignore"):
+        ask_norms, row_norms = (asks * asks).sum(axis=1), (rows * rows).sum(axis=1)
+    # twice the squared norms bound every term of the product form; far from overflow
+    largest = max(ask_norms.max(), row_norms.max())
+    product = p == 2 and bool(largest < 1e300)
+    slack = 8 * (asks.shape[1] + 8) * np.finfo(float).eps * largest if product else 0.0
+    found = []
+    for start in range(0, len(asks), TILE_QUERIES):
+        a, mine = asks[start : start + TILE_QUERIES], own[start : start + TILE_QUERIES]
+        at, of, far = np.zeros(0, int), np.zeros(0, int), np.zeros(0)
+        limit = np.full(len(a), np.inf)  # the k-th best distance so far
+        for first in range(0, len(rows), TILE_ROWS):
+            b = rows[first : first + TILE_ROWS]
+            if product:
+                d = a @ (-2.0 * b).T
+                d += ask_norms[start : start + TILE_QUERIES, None]
+                d += row_norms[None, first : first + TILE_ROWS]
+            else:
+                d = _distances(a, b, p)
+            if exclude_self:
+                _leave_out(d, mine, ids[first : first + TILE_ROWS])
+            bound = limit * limit * (1 + 1e-9) + slack if product else limit
+            if len(b) > k and np.isinf(bound).any():
+                kth = np.partition(d, k - 1, axis=1)[:, k - 1] + 2 * slack
+                bound = np.fmin(bound, kth)
+            near = np.flatnonzero(d <= np.minimum(bound, np.finfo(float).max)[:, None])
+            if not len(near):
+                continue
+            i, j = np.divmod(near, len(b))
+            if product:
+                parts = range(0, len(i), TILE_PAIRS)
+                exact = [np.sqrt(((a[i[n : n + TILE_PAIRS]] - b[j[n : n + TILE_PAIRS]]) ** 2).sum(axis=1)) for n in parts]
+                measured = np.concatenate(exact)
+            else:
+                measured = d[i, j]
+            at, of, far = np.concatenate([at, i]), np.concatenate([of, j + first]), np.concatenate([far, measured])
+            order = np.lexsort((of, far, at))
+            at, of, far = at[order], of[order], far[order]
+            place = np.arange(len(at)) - np.searchsorted(at, at)
+            limit[at[place == k - 1]] = far[place == k - 1]
+            at, of, far = at[place < k], of[place < k], far[place < k]
+        found.append((at + start, of, far))
+    return [np.concatenate(column) for column in zip(*found)]
+
+
 def knn(
     train: DataFrame,
     queries: DataFrame,
@@ -38,7 +103,7 @@ def knn(
     p: int = 2,
     exclude_self: bool = False,
     pivots: int = 32,
-    block_rows: int = 2048,
+    block_rows: int = 32768,
 ) -> DataFrame:
     """The k nearest training rows of every query: (query_id, neighbor_id, label, distance, rank).
 
@@ -96,21 +161,10 @@ def knn(
         if rows.empty or asks.empty:
             return pd.DataFrame(columns=columns)
         rows = rows.sort_values("id")
-        d = _distances(_matrix(asks["x"]), _matrix(rows["x"]), p)
-        ids, labels = rows["id"].to_numpy(), rows["label"].to_numpy()
-        own = asks["query_id"].to_numpy()
-        if exclude_self:
-            d[own[:, None] == ids[None, :]] = np.inf
-        best = np.argsort(d, axis=1, kind="stable")[:, :k]
-        out = pd.DataFrame(
-            {
-                "query_id": np.repeat(own, best.shape[1]),
-                "neighbor_id": ids[best].ravel(),
-                "label": labels[best].ravel(),
-                "distance": np.take_along_axis(d, best, axis=1).ravel(),
-            }
-        )
-        return out[np.isfinite(out["distance"])]
+        ids, own = rows["id"].to_numpy(), asks["query_id"].to_numpy()
+        at, of, distance = _nearest(own, _matrix(asks["x"]), ids, _matrix(rows["x"]), k, p, exclude_self)
+        values = own[at], ids[of], rows["label"].to_numpy()[of], distance
+        return pd.DataFrame(dict(zip(columns, values)))
 
     keys = ["cell", "tb", "qb"]
     label_type = base.schema["label"].dataType.simpleString()

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.ml import Estimator
 from pyspark.ml.feature import SQLTransformer, VectorAssembler
 
-from ledgerloom.operators import bayes, features, models
+from ledgerloom.operators import bayes, features, models, neighbors
 from ledgerloom.operators.neighbors import knn, knn_classify
 
 
@@ -47,6 +47,24 @@ def test_knn_with_fewer_rows_than_k(spark):
     assert knn(df, df, 5, "id", "x", "label", exclude_self=True).count() == 2
 
 
+@pytest.mark.parametrize("p, k, exclude", [(2, 15, True), (2, 5, False), (1, 4, True)])
+def test_knn_across_tiles(p, k, exclude):
+    """Copies fill more than a tile, and rows next to each other differ in their last digits only."""
+    source = np.random.default_rng(3)
+    rows = source.normal(size=(2 * neighbors.TILE_ROWS + 300, 6))
+    rows[1000:3400] = rows[0]
+    rows[3400:3500] = rows[0] + np.arange(100)[:, None] * 1e-15
+    ids = np.arange(len(rows)) * 3
+    asks, own = rows[::3], ids[::3]
+    at, of, distance = neighbors._nearest(own, asks, ids, rows, k, p, exclude)
+    whole = neighbors._distances(asks, rows, p)
+    if exclude:
+        whole[own[:, None] == ids[None, :]] = np.inf
+    best = np.argsort(whole, axis=1, kind="stable")[:, :k]
+    assert (at == np.repeat(np.arange(len(asks)), k)).all() and (of == best.ravel()).all()
+    assert (distance == np.take_along_axis(whole, best, axis=1).ravel()).all()
+
+
 def test_votes(spark):
     near = spark.createDataFrame(
         [(1, 5, 0, 0.0), (1, 6, 1, 0.1), (1, 7, 1, 0.1), (2, 5, 0, 1.0), (2, 6, 1, 1.0)],
