@@ -116,8 +116,23 @@ def monthly_close_map(closes: DataFrame) -> DataFrame:
 
 
 def monthly_close_wide(closes: DataFrame, names: list[str]) -> DataFrame:
-    """One column for each listed month and currency; the map form has them all."""
-    return closes.groupBy("account_number").pivot("prop_name", names).agg(F.first("balance_close"))
+    """One column for each listed month and currency; the map form has them all.
+
+    An account's closes are gathered in the order of the columns, and only a row that is
+    read is widened: a pivot would hold all columns of every account that a task meets.
+    """
+    lookup = closes.sparkSession.range(1).select(F.posexplode(F.array(*map(F.lit, names)).cast("array<string>")).alias("__at", "__name"))
+    placed = closes.join(lookup, F.col("prop_name") == F.col("__name"), "left")
+    close = F.when(F.col("__at").isNotNull(), F.struct(F.col("__at").alias("at"), F.col("balance_close").alias("close")))
+    gathered = placed.groupBy("account_number").agg(F.array_sort(F.collect_list(close)).alias("__all"))
+    before = lambda column, i: F.coalesce(F.get(column, i - 1)["at"], F.lit(-1))
+    # of several closes under one name one counts
+    firsts = F.filter("__all", lambda one, i: one["at"] != before("__all", i))
+    kind = closes.schema["balance_close"].dataType
+    gap = lambda one, i: F.array_repeat(F.lit(None).cast(kind), one["at"] - before("__own", i) - 1)
+    filled = F.flatten(F.transform("__own", lambda one, i: F.concat(gap(one, i), F.array(one["close"]))))
+    row = gathered.select("account_number", firsts.alias("__own")).select("account_number", filled.alias("__row"))
+    return row.select("account_number", *[F.get("__row", F.lit(i)).alias(name) for i, name in enumerate(names)])
 
 
 def enriched_nodes(nodes: DataFrame, statements: DataFrame) -> DataFrame:

@@ -10,7 +10,7 @@ from ledgerloom.operators import ledger
 from ledgerloom.operators.timeseries import rounded
 from ledgerloom.plans.fixtures import with_movements, with_statements, with_transfers
 from ledgerloom.plans.registry import query
-from ledgerloom.runtime import fresh_path
+from ledgerloom.runtime import fresh_path, stage
 from ledgerloom.sinks import ledger_store
 from ledgerloom.sources.tables import Tables
 
@@ -232,7 +232,8 @@ def _monthly_close_map(spark, folder):
     ),
 )
 def _monthly_close_wide(spark, folder):
-    long = graph.monthly_close(statements(spark, folder, currencies=True))
+    # written once: the names and the wide form both read it
+    long = stage(graph.monthly_close(statements(spark, folder, currencies=True)), "closes")
     # one name for each month and currency of the data
     closes = sorted(row[0] for row in long.select("prop_name").distinct().collect())
     wide = graph.monthly_close_wide(long, closes)
