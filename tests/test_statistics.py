@@ -5,6 +5,7 @@ import math
 import random
 import statistics
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -209,6 +210,25 @@ def test_hub_decomposition_of_a_weekly_pattern(spark):
     assert math.isnan(got[2]["pacf_energy"] or math.nan)
 
 
+def test_hub_decomposition_reads_series_across_batches(spark):
+    rows = [(hub, step, i, float((i * 7 + (hub or 5)) % 11)) for hub in (None, 0, 1) for step, n in (("1 day", 33), ("1 hour", 5)) for i in range(n)]
+    df = spark.createDataFrame(rows, "hub_id long, granularity string, bucket int, net double").repartition(3)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "4")
+    try:
+        measured = ts.hub_decomposition(df)
+        got = {(r["hub_id"], r["granularity"]): r for r in measured.collect()}
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    # one call a series costs milliseconds each
+    assert "FlatMapGroups" not in measured._jdf.queryExecution().optimizedPlan().toString()
+    assert len(got) == 6
+    for (hub, step), r in got.items():
+        x = np.array([v for h, s, _, v in rows if (h, s) == (hub, step)])
+        partial = ts._partial_autocorrelation(x, 10)
+        shares = ts._variance_shares(x, 7) if step == "1 day" else (None,) * 3
+        assert tuple(r)[2:] == (len(x), (partial**2).sum(), np.abs(partial).max(), *shares)
+
+
 def test_series_sums_agree_across_granularities(spark, folder):
     from ledgerloom.plans.timeseries_queries import _series
 
