@@ -12,6 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerloom.runtime import stage
+
 
 def _best(classes: Column, score) -> Column:
     """Label of the highest score; a tie goes to the smaller label."""
@@ -83,14 +85,16 @@ def categorical_predict(
     Given `priors` (label to share) replace the empirical ones.
 
     A category never seen with a class counts as zero there. All counts come from
-    one pass; each feature's table has one row per category.
+    one pass and are stored, as the classes and every feature's table read them; such
+    a table has one row per category.
     """
     text = [F.struct(F.lit(i).alias("f"), F.col(name).cast("string").alias("v")) for i, name in enumerate(features)]
-    cells = (
+    counts = (
         train.select(F.col(label).alias("label"), F.inline(F.array(*text)))
         .groupBy("f", "v", "label")
         .agg(F.count("*").alias("n"))
     )
+    cells = stage(counts, "category-counts")
     # every row has exactly one value of the first feature, so its cells add up to the classes
     classes = cells.filter("f = 0").groupBy("label").agg(F.sum("n").alias("n"))
     model = classes.agg(

@@ -232,9 +232,11 @@ def _categorical_sql() -> str:
 
 @query("clf_categorical_nb", _categorical_sql().replace("FROM d, c JOIN", "FROM d CROSS JOIN c JOIN"))
 def _clf_categorical_nb(spark, folder):
-    rows = frame(spark, folder).select(
+    coded = frame(spark, folder).select(
         "id", *CATEGORICAL, F.col("n_lines").cast("int").cast("string").alias("lines"), "label"
     )
+    # written once: both counting and scoring read it
+    rows = stage(coded, "frame")
     predicted = bayes.categorical_predict(rows, rows, [*CATEGORICAL, "lines"], "label")
     return predicted.select("id", "label", "prediction")
 
@@ -254,7 +256,8 @@ _BITS = " + ".join(
         SELECT *, row_number() OVER (PARTITION BY id ORDER BY round(score, 9) DESC, cl) AS rn FROM s) WHERE rn = 1""",
 )
 def _bernoulli_nb_exact(spark, folder):
-    rows = frame(spark, folder).select("id", *NUMERIC, "label")
+    # written once: means, counts and scores all read it
+    rows = stage(frame(spark, folder).select("id", *NUMERIC, "label"), "frame")
     means = {f: rows.agg(F.avg(f)).scalar() for f in NUMERIC}
     return bayes.bernoulli_predict(rows, rows, NUMERIC, "label", means).select("id", "label", "prediction")
 

@@ -12,6 +12,7 @@ from pyspark.ml.feature import SQLTransformer, VectorAssembler
 
 from ledgerloom.operators import bayes, features, models, neighbors
 from ledgerloom.operators.neighbors import knn, knn_classify
+from ledgerloom.plans import model_queries
 
 
 @pytest.fixture(scope="module")
@@ -199,3 +200,9 @@ def test_learners_share_what_a_fold_prepared(spark):
         assert models.cv_scores(models.Pipeline(stages=[gather(), *stages]), df, 3) == pytest.approx(found[name])
     with pytest.raises(ValueError):
         models.shared_cv_scores([gather()], learners, df, 2)
+
+
+@pytest.mark.parametrize("name", ["_bernoulli_nb_exact", "_clf_categorical_nb"])
+def test_bayes_aggregates_the_lines_once(spark, folder, name):
+    scored = getattr(model_queries, name)(spark, folder)
+    assert "l_orderkey" not in scored._jdf.queryExecution().optimizedPlan().toString()
