@@ -2,6 +2,7 @@
 
 import math
 import random
+import threading
 
 import numpy as np
 import pytest
@@ -202,6 +203,52 @@ def test_learners_share_what_a_fold_prepared(spark):
         models.shared_cv_scores([gather()], learners, df, 2)
 
 
+class _Watched(Estimator):
+    """Keeps the widest partition it was fitted on, the kept bytes in memory and the fits side by side; predicts 0."""
+
+    def __init__(self, known: set):
+        super().__init__()
+        self.known, self.lock, self.now, self.widths, self.abreast, self.kept = known, threading.Lock(), 0, [], [], []
+
+    def copy(self, extra=None):
+        return self
+
+    def _fit(self, dataset):
+        with self.lock:
+            self.now += 1
+            self.abreast.append(self.now)
+        counts = dataset.groupBy(F.spark_partition_id()).count()
+        self.widths.append(counts.agg(F.max("count")).first()[0])
+        self.kept.append(sum(size for key, size in _kept(dataset.sparkSession).items() if key not in self.known))
+        with self.lock:
+            self.now -= 1
+        return SQLTransformer(statement="SELECT *, CAST(0 AS DOUBLE) AS prediction FROM __THIS__")
+
+
+def _kept(spark) -> dict[int, int]:
+    return {info.id(): info.memSize() for info in spark.sparkContext._jsc.sc().getRDDStorageInfo()}
+
+
+@pytest.mark.parametrize("shared", [True, False])
+def test_learners_get_bounded_partitions_and_the_memory(spark, monkeypatch, shared):
+    monkeypatch.setattr(models, "PART_ROWS", 100, raising=False)
+    # equal rows in one partition
+    df = spark.createDataFrame([(i % 3, 1.0, float(i % 2)) for i in range(1200)], "fold int, a double, label double").coalesce(1)
+    known = set(_kept(spark))
+    watched = _Watched(known)
+    gather = VectorAssembler(inputCols=["a"], outputCol="features")
+    if shared:
+        found = models.shared_cv_scores([gather], {str(i): [watched] for i in range(4)}, df, 3)
+        assert set(found.values()) == {(0.5, 0.0)} and len(watched.widths) == 12
+    else:
+        assert models.cv_scores(models.Pipeline(stages=[gather, watched]), df, 3) == (0.5, 0.0)
+    assert max(watched.widths) <= 100
+    assert max(watched.abreast) == 1  # partitions enough for every core
+    assert set(watched.kept) == {0}
+    assert set(_kept(spark)) <= known  # nothing stays
+    assert models.bounded(df.limit(100)).rdd.getNumPartitions() == 1  # small tables stay as they are
+
+
 @pytest.mark.parametrize("name", ["_bernoulli_nb_exact", "_clf_categorical_nb"])
 def test_bayes_aggregates_the_lines_once(spark, folder, name):
     scored = getattr(model_queries, name)(spark, folder)
